@@ -110,7 +110,7 @@ def missing_share(spark, folder):
 
 @query
 def problem_columns(spark, folder):
-    return rounded(profile.problem_columns(lineitem_with_gaps(spark, folder), 0.1), 9, "missing_share")
+    return rounded(profile.problem_columns(lineitem_with_gaps(spark, folder), 0.05), 9, "missing_share")
 
 
 # --- frequency ---------------------------------------------------------------------------
@@ -230,7 +230,7 @@ def customer_profiles(customers: DataFrame) -> DataFrame:
 @query
 def score_profiles_stream(spark, folder):
     schema = table(spark, folder, "customer").schema
-    stream = spark.readStream.schema(schema).parquet(f"{folder}/customer.parquet")
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/customer*.parquet")
     base = scratch(spark)
     write_scores(scored_stream(customer_profiles(stream)), f"{base}/scores", f"{base}/progress").awaitTermination()
     scores = spark.read.parquet(f"{base}/scores")

@@ -95,8 +95,13 @@ def text_key(column: Column) -> Column:
     return F.when(is_long_text(column), digest).otherwise(column)
 
 
+def clamp(column: Column, low: float, high: float) -> Column:
+    """The value moved into low..high; NULL stays NULL."""
+    return F.when(column < low, F.lit(low)).when(column > high, F.lit(high)).otherwise(column)
+
+
 def clamp_unit(column: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), column))
+    return clamp(column, 0.0, 1.0)
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableprofile.functions.columns import col, fields, numeric_columns, present
+from tableprofile.functions.columns import clamp, col, fields, numeric_columns, present
 
 # Up to this many columns all pairs fit in one aggregate of built-in expressions.
 COLUMNS_PER_AGGREGATE = 12
@@ -46,8 +46,8 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None, min_co
 
 def _ratio(covariance: Column, x_variance: Column, y_variance: Column) -> Column:
     """Covariance over the root of the variances; NULL for a constant side, within -1..1."""
-    scale = F.sqrt(x_variance) * F.sqrt(y_variance)
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(covariance, scale)))
+    ratio = F.try_divide(covariance, F.sqrt(x_variance) * F.sqrt(y_variance))
+    return clamp(ratio, -1.0, 1.0)
 
 
 def _pairs_by_aggregate(df: DataFrame, names: Sequence[str]) -> DataFrame:
