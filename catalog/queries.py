@@ -622,7 +622,9 @@ def labelled_features(spark, folder):
 
 
 def fitted_grid(spark, folder):
-    split = modeling.stratified_split(labelled_features(spark, folder), "quality", "doc_id")
+    path = scratch(spark)
+    modeling.stratified_split(labelled_features(spark, folder), "quality", "doc_id").write.parquet(path)
+    split = spark.read.parquet(path)
     train, validation = split.where("split = 'train'"), split.where("split = 'validation'")
     found, fitted = modeling.grid_search(train, validation, FEATURES, "quality")
     return split, found, fitted

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions.columns import col
-from tableprofile.operators.ordered import add_bucket, totals_above
+from tableprofile.operators.ordered import MAX_BUCKETS, add_bucket, totals_above
 
 
 def _safe_ratio(part: Column, whole: Column) -> Column:
@@ -140,28 +140,31 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return start.unionByName(points).orderBy(F.col("threshold").desc())
 
 
-def trapezoid_auc(curve: DataFrame, x: str = "fpr", y: str = "tpr") -> DataFrame:
+def trapezoid_auc(curve: DataFrame, x: str = "fpr", y: str = "tpr", low: float = 0.0, high: float = 1.0) -> DataFrame:
     """One row (auc): area under a rising curve by trapezoids between neighbouring points.
 
     Points with equal x enclose no area: each x keeps only where the curve enters and leaves it.
+    The work is cut in equal ranges of x between low and high; points outside them count too.
     """
     points = (
         curve.groupBy(col(x).cast("double").alias("x"))
         .agg(F.min(col(y)).alias("enter"), F.max(col(y)).alias("leave"))
         .where("x is not null")
     )
-    points = add_bucket(points, "x", rows=curve.select(col(x).cast("double").alias("x")))
+    place = F.floor((F.col("x") - F.lit(low)) / F.lit(high - low) * F.lit(float(MAX_BUCKETS)))
+    points = points.withColumn("bucket", F.greatest(F.lit(0), F.least(place, F.lit(MAX_BUCKETS - 1))).cast("int"))
     step = Window.partitionBy("bucket").orderBy("x")
     area = (F.col("x") - F.lag("x").over(step)) * (F.col("enter") + F.lag("leave").over(step)) / 2
-    inside = points.select("bucket", area.alias("area"))
-    ends = points.groupBy("bucket").agg(
-        F.min(F.struct("x", "enter")).alias("first"), F.max(F.struct("x", "leave")).alias("last")
+    # One row per bucket: its own area, and its end points to connect it with its neighbours.
+    buckets = points.withColumn("area", area).groupBy("bucket").agg(
+        F.coalesce(F.sum("area"), F.lit(0.0)).alias("area"),
+        F.min(F.struct("x", "enter")).alias("first"),
+        F.max(F.struct("x", "leave")).alias("last"),
     )
-    # One row per bucket is left, so a single ordered window is enough.
     across = Window.partitionBy(F.lit(0)).orderBy("bucket")
     gap = (F.col("first.x") - F.lag("last.x").over(across)) * (F.col("first.enter") + F.lag("last.leave").over(across)) / 2
-    between = ends.select("bucket", gap.alias("area"))
-    return inside.unionByName(between).agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias("auc"))
+    joined = buckets.select((F.col("area") + F.coalesce(gap, F.lit(0.0))).alias("area"))
+    return joined.agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias("auc"))
 
 
 def metric_gain(metrics: DataFrame, baseline: DataFrame, names: Sequence[str]) -> DataFrame:

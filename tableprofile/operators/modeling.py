@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -159,15 +160,19 @@ class Fitted:
     models: dict[float, LogisticRegressionModel]
 
 
-def fit_grid(train: DataFrame, features: Sequence[str], label: str, grid: Sequence[float] = C_GRID) -> Fitted:
-    """Scale on the training rows and fit one model per C."""
+def fit_grid(
+    train: DataFrame, features: Sequence[str], label: str, grid: Sequence[float] = C_GRID, parallelism: int = 4
+) -> Fitted:
+    """Scale on the training rows and fit one model per C, `parallelism` fits at a time."""
     scaler = settle(fit_scaler(train, features))
     vectors = _vectors(apply_scaler(train, scaler), features).select(col(label).cast("double").alias("y"), "feature_vector")
     # Every fit iterates over these rows; lost blocks are recomputed.
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = vectors.count()
-        models = {float(c): fit_logistic(vectors, "y", c, rows) for c in grid}
+        fit = inheritable_thread_target(train.sparkSession)(lambda c: fit_logistic(vectors, "y", c, rows))
+        with ThreadPool(parallelism) as pool:
+            models = dict(zip(map(float, grid), pool.map(fit, grid, chunksize=1)))
     finally:
         vectors.unpersist()
     return Fitted(tuple(features), scaler, models)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tableprofile.functions.columns import clamp, col, fields, numeric_columns, present
 
-# Up to this many columns all pairs fit in one aggregate of built-in expressions.
-COLUMNS_PER_AGGREGATE = 12
+# Up to this many columns all pairs fit in one aggregate of built-in expressions; with more, that
+# aggregate is too large to be compiled well, and matrix products are several times faster.
+COLUMNS_PER_AGGREGATE = 4
 
 LONG_SCHEMA = "x_order int, column_x string, y_order int, column_y string, correlation double"
 MOMENTS_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
@@ -31,10 +32,12 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None, min_co
         upper = _pairs_by_aggregate(df, names)
     else:
         upper = _pairs_by_blocks(df, names)
-    flipped = upper.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "correlation")
     label = F.array(*[F.lit(n) for n in names])
+    there, back = F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
+    both = F.when(F.col("i") < F.col("j"), F.array(there, back)).otherwise(F.array(there))
     return (
-        upper.unionByName(flipped)
+        upper.select("correlation", F.explode(both).alias("pair"))
+        .select("correlation", "pair.*")
         .orderBy("i", "j")
         .select(
             F.element_at(label, F.col("i") + 1).alias("column_x"),
@@ -81,8 +84,14 @@ def _pairs_by_blocks(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """
     values = [present(f).cast("double") for f in fields(df, names)]
     chosen = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
-    # One number per column comes to the driver.
-    means = chosen.agg(*[F.coalesce(F.avg(f"v{i}"), F.lit(0.0)) for i in range(len(names))]).first()
+    facts = [F.count(F.lit(1))]
+    for i in range(len(names)):
+        facts += [F.coalesce(F.avg(f"v{i}"), F.lit(0.0)), F.min(f"v{i}").eqNullSafe(F.max(f"v{i}"))]
+    # Two values per column come to the driver.
+    facts = chosen.agg(*facts).first()
+    means, constant = facts[1::2], facts[2::2]
+    if facts[0] == 0:
+        return df.sparkSession.createDataFrame([], "i int, j int, correlation double")
     centered = chosen.select(*[(F.col(f"v{i}") - F.lit(float(m))).alias(f"v{i}") for i, m in enumerate(means)])
     width = len(names)
 
@@ -97,6 +106,8 @@ def _pairs_by_blocks(df: DataFrame, names: Sequence[str]) -> DataFrame:
             sxx += (x * x).T @ mask
             sxy += x.T @ x
         i, j = np.triu_indices(width)
+        if not n.any():
+            return
         yield pd.DataFrame({
             "i": i, "j": j, "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
             "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j],
@@ -106,18 +117,20 @@ def _pairs_by_blocks(df: DataFrame, names: Sequence[str]) -> DataFrame:
     total = (
         centered.mapInPandas(moments, MOMENTS_SCHEMA)
         .groupBy("i", "j")
-        .agg(*[F.sum(s).alias(s) for s in sums], F.lit(1).alias("one"))
+        .agg(*[F.sum(s).alias(s) for s in sums])
     )
     n = F.col("n")
     spread = lambda square, a, b: F.col(square) - F.try_divide(F.col(a) * F.col(b), n)
     x_spread, y_spread = spread("sxx", "sx", "sx"), spread("syy", "sy", "sy")
-    # What is left of a constant column after the shift is rounding noise.
-    noise = F.lit(1e-20)
+    varying = F.array(*[F.lit(not c) for c in constant])
+    varies = F.element_at(varying, F.col("i") + 1) & F.element_at(varying, F.col("j") + 1)
+    # A side that is constant within the pair's rows leaves rounding noise behind.
+    noise = F.lit(1e-13)
     real_x = F.when(x_spread > noise * F.col("sxx"), x_spread)
     real_y = F.when(y_spread > noise * F.col("syy"), y_spread)
     pair = _ratio(spread("sxy", "sx", "sy"), real_x, real_y)
     exact = F.when((F.col("i") == F.col("j")) & real_x.isNotNull(), F.lit(1.0)).otherwise(pair)
-    return total.select("i", "j", exact.alias("correlation"))
+    return total.select("i", "j", F.when(varies, exact).alias("correlation"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
