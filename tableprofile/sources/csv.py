@@ -36,11 +36,13 @@ def read_csv(
     Without a schema the types are inferred in one aggregate over the whole input: int, bigint,
     double or boolean if every present value fits, else string; dates stay strings. Large inputs
     should come with a schema, which leaves a single lazy scan. `multi_line` admits line breaks
-    in quoted values, at the price of unsplit files. A charset outside Spark's own list needs
+    in quoted values, at the price of unsplit files; charsets with wide line breaks (UTF-16, UTF-32)
+    need it and get it. A charset outside Spark's own list needs
     `spark.sql.legacy.javaCharsets=true` in the session.
     """
+    whole_files = multi_line or encoding.upper().startswith(("UTF-16", "UTF-32"))
     options = dict(
-        header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multi_line,
+        header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=whole_files,
         inferSchema=False, enforceSchema=False,
     )
     try:
