@@ -41,12 +41,11 @@ def union(parts: list[str]) -> str:
 
 
 def examples_sql(name: str, dtype: str, n: int = 3) -> str:
-    """First n distinct values by value; texts over 64 bytes last, in the order of their SHA-256."""
-    if dtype == "string":
-        long = f"strlen({name}) > 64"
-        order = f"CASE WHEN {long} THEN 1 ELSE 0 END, CASE WHEN {long} THEN sha256({name}) ELSE {name} END"
-    else:
-        order = name
+    """First n distinct values: by size, or for texts by MD5 draw, with SHA-256 standing in for long ones."""
+    order = name
+    if dtype not in NUMBERS:
+        text = f"CAST({name} AS VARCHAR)"
+        order = f"substr(md5(CASE WHEN strlen({text}) > 64 THEN 'sha256:' || sha256({text}) ELSE {text} END), 1, 15)"
     return (
         f"(SELECT coalesce(string_agg(v, '|' ORDER BY r), '') FROM (SELECT CAST({name} AS VARCHAR) AS v, "
         f"row_number() OVER (ORDER BY {order}) AS r FROM (SELECT DISTINCT {name} FROM t WHERE {name} IS NOT NULL)) "
@@ -466,6 +465,10 @@ FROM ({LABEL_SPLIT}) GROUP BY split, quality""",
     "metric_gain": gain_sql(),
     "roc_auc": auc_sql(DOCUMENT_SCORES, "quality", None),
     "roc_auc_grouped": auc_sql(LINE_SCORES, "returned", "l_linestatus"),
+    "best_model": "SELECT * FROM (" + auc_sql(
+        "SELECT l_linenumber AS c, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned, l_extendedprice AS score FROM lineitem",
+        "returned", "c",
+    ) + ") ORDER BY roc_auc DESC, c LIMIT 1",
     "roc_curve": f"{CURVE} SELECT round(threshold, 9) AS threshold, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr FROM c",
     "trapezoid_auc": f"""{CURVE} SELECT round(sum((fpr - x) * (tpr + y) / 2), 9) AS auc
 FROM (SELECT fpr, tpr, lag(fpr) OVER w AS x, lag(tpr) OVER w AS y FROM c WINDOW w AS (ORDER BY fpr, tpr))""",

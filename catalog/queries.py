@@ -568,6 +568,16 @@ def roc_auc_grouped(spark, folder):
     return rounded(metrics.roc_auc(scored_lines(spark, folder), "returned", "score", ["l_linestatus"]), 9, "roc_auc")
 
 
+@query
+def best_model(spark, folder):
+    """The line number whose prices tell returned lines apart best, in the place of the best C."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_linenumber").alias("c"), (F.col("l_returnflag") == "R").cast("int").alias("returned"), "l_extendedprice"
+    )
+    areas = metrics.roc_auc(lines, "returned", "l_extendedprice", ["c"])
+    return rounded(modeling.best_model(areas), 9, "roc_auc")
+
+
 @query
 def roc_curve(spark, folder):
     curve = metrics.roc_curve(scored_lines(spark, folder), "returned", "score")

@@ -177,17 +177,15 @@ def missing_blocks(df: DataFrame, order_by: str, blocks: int = 100) -> DataFrame
     in block -1.
     """
     place = present(fields(df, [order_by])[0]).cast("double")
-    limits = df.agg(F.min(place).alias("low"), F.max(place).alias("high")).withColumn("one", F.lit(1))
+    low, high = df.agg(F.min(place)).scalar(), df.agg(F.max(place)).scalar()
     names = [n for n in df.columns if n != order_by]
     marks = [is_missing(df, name).cast("int").alias(f"m{i}") for i, name in enumerate(names)]
-    low, high = F.col("low"), F.col("high")
-    block = F.when(F.col("place").isNull(), F.lit(-1)).when(low == high, F.lit(0)).otherwise(
-        equal_width_bin(F.col("place"), low, high, blocks)
+    block = F.when(F.col("place").isNull(), F.lit(-1)).when(F.col("low") == F.col("high"), F.lit(0)).otherwise(
+        equal_width_bin(F.col("place"), F.col("low"), F.col("high"), blocks)
     )
     cells = [c for i, name in enumerate(names) for c in (F.lit(i), F.lit(name), F.col(f"s{i}"))]
     return (
-        df.select(place.alias("place"), F.lit(1).alias("one"), *marks)
-        .join(F.broadcast(limits), "one")
+        df.select(place.alias("place"), low.alias("low"), high.alias("high"), *marks)
         .groupBy(block.alias("block"))
         .agg(F.count(F.lit(1)).alias("n_rows"), *[F.avg(f"m{i}").alias(f"s{i}") for i in range(len(names))])
         .select("block", "n_rows", F.stack(F.lit(len(names)), *cells).alias("ordinal", "column", "missing_share"))

@@ -22,8 +22,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def value_shares(df: DataFrame, column: str, scale: float = 1.0) -> DataFrame:
     """(value, count, share) with shares of all present values, times `scale`."""
     counts = _counted(df, column)
-    # A scalar subquery: a window over everything would pull all values into one task.
-    total = counts.agg(F.sum("count")).scalar()
+    # A scalar subquery over the rows, without a shuffle: a window over everything would pull all
+    # values into one task.
+    total = df.agg(F.count(present(fields(df, [column])[0]))).scalar()
     return counts.withColumn("share", F.col("count") / total * F.lit(float(scale))).orderBy(
         F.col("count").desc(), F.col("value").asc()
     )

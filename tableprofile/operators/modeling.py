@@ -201,8 +201,10 @@ def grid_metrics(validation: DataFrame, fitted: Fitted, label: str) -> DataFrame
     """(c, accuracy, roc_auc, precision, recall, f1) per model on the validation rows."""
     scored = predict_all(validation, fitted, [label])
     counts = binary_metrics(scored, label, "prediction", ["c"])
-    areas = roc_auc(scored, label, "probability", ["c"])
-    return counts.join(areas, "c").orderBy("c").select("c", "accuracy", "roc_auc", "precision", "recall", "f1")
+    areas = roc_auc(scored, label, "probability", ["c"]).withColumnRenamed("c", "area_c")
+    # A null-safe join pushes no filter into either side, which keeps their common shuffle shared.
+    joined = counts.join(areas, counts["c"].eqNullSafe(areas["area_c"]))
+    return joined.orderBy("c").select("c", "accuracy", "roc_auc", "precision", "recall", "f1")
 
 
 def grid_search(

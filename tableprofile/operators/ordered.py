@@ -13,6 +13,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableprofile.functions.small import null_safe_on
+
 MAX_BUCKETS = 1024
 
 
@@ -45,14 +47,15 @@ def totals_above(df: DataFrame, keys: Sequence[str], value: str, bucket: str, su
     everything = Window.partitionBy(*group)
     offsets = df.groupBy(*keys, bucket).agg(*[F.sum(s).alias(s) for s in sums])
     offsets = offsets.select(
-        *keys,
-        bucket,
+        *[F.col(k).alias(f"o_{k}") for k in [*keys, bucket]],
         *[F.coalesce(F.sum(s).over(higher), F.lit(0)).alias(f"{s}_offset") for s in sums],
         *[F.sum(s).over(everything).alias(f"{s}_total") for s in sums],
     )
     inside = Window.partitionBy(*keys, bucket).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
     within = df.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"{s}_inside") for s in sums])
-    joined = within.join(offsets if keys else F.broadcast(offsets), [*keys, bucket])
+    # Without keys there are at most MAX_BUCKETS offsets.
+    on = null_safe_on(within, offsets, [(k, f"o_{k}") for k in [*keys, bucket]])
+    joined = within.join(offsets if keys else F.broadcast(offsets), on)
     return joined.select(
         *df.columns,
         *[(F.col(f"{s}_offset") + F.col(f"{s}_inside")).alias(f"{s}_above") for s in sums],

@@ -143,7 +143,9 @@ def _long_values(
     rows = F.stack(F.lit(len(numbered)), *cells).alias("ordinal", "whole", "real", "text")
     kept = [] if order_by is None else [col(order_by).alias("place")]
     filled = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull()
-    return df.select(*kept, rows).where(filled)
+    # The ordinal is never missing; saying so keeps later joins from adding that filter to some
+    # uses of the rows only, which would cost the sharing of their shuffle.
+    return df.select(*kept, rows).where(filled & F.col("ordinal").isNotNull())
 
 
 def distinct_values_long(
@@ -194,14 +196,26 @@ def _first_slot(field: T.StructField) -> Column:
 def _examples_of(df: DataFrame, values: DataFrame, n: int, ordered: bool) -> DataFrame:
     """(ordinal, rank, value) for the first n distinct values of each column.
 
-    First means smallest `place` when there is one, else smallest value, with long texts last and
-    in the order of their digests. The few long texts chosen are looked up by digest; without
-    any, Spark drops that second scan at run time.
+    First means smallest `place` when there is one, else smallest number, or for texts smallest
+    MD5 draw. The smallest value of each of 64 hash parts of a column bounds what can be among its
+    first n, so that only a handful of values is ever sorted. The few long texts chosen are looked
+    up by digest; without any, Spark drops that second scan at run time.
     """
+    places = ["place"] if ordered else ["whole", "real", "draw"]
+    if not ordered:
+        values = values.withColumn("draw", F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("bigint"))
+    order = [F.col(p).asc() for p in places]
+    part = F.pmod(F.xxhash64("whole", "real", "text"), F.lit(64))
+    # The count keeps Spark from dropping the distinct step below minima and reading the source again.
+    firsts = values.groupBy("ordinal", part.alias("part")).agg(F.count(F.lit(1)).alias("n"), *[F.min(p).alias(p) for p in places])
+    firsts = firsts.where("n > 0")
+    # One row per column that has n parts.
+    bounds = top_n(firsts, ["ordinal"], order, n).where(F.col("rank") == n)
+    bounds = bounds.select("ordinal", *[F.col(p).alias(f"{p}_bound") for p in places])
+    close = reduce(lambda a, b: a & b, [F.coalesce(F.col(p) <= F.col(f"{p}_bound"), F.lit(True)) for p in places])
+    near = values.join(F.broadcast(bounds), "ordinal", "left").where(close)
+    chosen = top_n(near, ["ordinal"], [*order, F.col("whole").asc(), F.col("real").asc(), F.col("text").asc()], n)
     digest = F.octet_length("text") > LONG_TEXT_BYTES
-    order = [F.col("place").asc()] if ordered else []
-    order += [F.coalesce(digest, F.lit(False)).asc(), F.col("whole").asc(), F.col("real").asc(), F.col("text").asc()]
-    chosen = top_n(values, ["ordinal"], order, n)
     numbered = list(enumerate(df.schema.fields))
     texts = [
         (i, f) for i, f in numbered
@@ -229,8 +243,8 @@ def _examples_of(df: DataFrame, values: DataFrame, n: int, ordered: bool) -> Dat
 def example_values(df: DataFrame, n: int = 3, order_by: str | None = None) -> DataFrame:
     """First n distinct present values of each column as text: (column, rank, value).
 
-    With `order_by` values count in the order in which they are first seen; without it in their
-    own order, texts over 64 bytes after all others.
+    With `order_by` values count in the order in which they are first seen; without it numbers and
+    times go by size and texts in a fixed order of their MD5 draws.
     """
     found = _examples_of(df, distinct_values_long(df, order_by=order_by), n, order_by is not None)
     names = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("ordinal") + 1)

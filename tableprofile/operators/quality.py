@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +45,7 @@ def quality_flags(df: DataFrame) -> DataFrame:
     missing = F.col("n_rows") - F.col("non_null")
     return _flags_of(
         facts.select(
-            "ordinal", "name", "n_rows", "is_numeric",
+            "ordinal", "name", "n_rows", "non_null", "is_numeric",
             share(missing, F.col("n_rows")).alias("missing_share"),
             F.coalesce("is_constant", unique <= 1).alias("is_constant"),
             unique.alias("unique"),
@@ -51,13 +53,14 @@ def quality_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_flags_from_summary(summary: DataFrame) -> DataFrame:
-    """The same row of flags from a finished `column_summary`."""
+def quality_flags_from_summary(summary: DataFrame, further: Sequence[Column] = ()) -> DataFrame:
+    """The same row of flags from a finished `column_summary`, with further aggregates if named."""
     return _flags_of(
         summary.select(
-            "ordinal", "name", (F.col("non_null") + F.col("missing")).alias("n_rows"), "is_numeric",
+            "ordinal", "name", (F.col("non_null") + F.col("missing")).alias("n_rows"), "non_null", "is_numeric",
             "missing_share", (F.col("unique") <= 1).alias("is_constant"), "unique",
-        )
+        ),
+        further,
     )
 
 
@@ -66,7 +69,7 @@ def _names_where(condition: Column) -> Column:
     return F.array_sort(F.collect_list(F.when(condition, named)))["name"]
 
 
-def _flags_of(columns: DataFrame) -> DataFrame:
+def _flags_of(columns: DataFrame, further: Sequence[Column] = ()) -> DataFrame:
     """Fold the per-column rows (as many as the table has columns) into one row of flags."""
     crowded = ~F.col("is_numeric") & (share(F.col("unique"), F.col("n_rows")) >= HIGH_CARDINALITY)
     totals = columns.agg(
@@ -75,7 +78,9 @@ def _flags_of(columns: DataFrame) -> DataFrame:
         F.coalesce(F.max("missing_share"), F.lit(0.0)).alias("max_missing_share"),
         _names_where(F.col("is_constant")).alias("constant_columns_list"),
         _names_where(crowded).alias("high_cardinality_categoricals"),
+        *further,
     )
+    extra = totals.columns[len(totals.columns) - len(further) :]
     few, wide = F.col("n_rows") < FEW_ROWS, F.col("n_cols") > MANY_COLUMNS
     constants, crowds = F.size("constant_columns_list"), F.size("high_cardinality_categoricals")
     # The verdict depends on the last digit, so the penalties are taken off in this order.
@@ -99,6 +104,7 @@ def _flags_of(columns: DataFrame) -> DataFrame:
         (crowds > 0).alias("has_high_cardinality_categoricals"),
         "high_cardinality_categoricals",
         clamp_unit(score).alias("quality_score"),
+        *extra,
     )
 
 

@@ -38,17 +38,14 @@ def report_metrics(
     """(position, section, metric, value): shape, parameters, quality and which sections exist."""
     if summary is None:
         summary = column_summary(df, example_values=0)
-    flags = quality_flags_from_summary(summary)
     filled = F.col("non_null") > 0
     numbers = numeric_columns(df, max_hist_columns)
     texts = categorical_columns(df, MAX_TOP_COLUMNS)
-    sections = summary.agg(
-        F.lit(1).alias("one"),
+    facts = quality_flags_from_summary(summary, [
         F.count_if(F.col("name").isin(texts) & filled).alias("tops"),
         F.count_if(F.col("name").isin(numbers) & filled).alias("histograms"),
         F.count_if(F.col("missing_share") >= F.lit(min_missing_share)).alias("problems"),
-    )
-    facts = flags.withColumn("one", F.lit(1)).join(F.broadcast(sections), "one")
+    ])
     rows_exist = F.col("n_rows") > 0
     entries: list[tuple[str, str, Column]] = [
         ("source", "name", F.lit(source)),

@@ -29,7 +29,7 @@ def test_summary_of_sample(sample):
     assert (height["missing"], height["unique"], height["mean"]) == (0, 4, 155.0)
     assert height["std"] == pytest.approx(12.909944487358056, abs=1e-12)
     assert (city["dtype"], city["unique"], city["is_numeric"], city["mean"]) == ("string", 2, False, None)
-    assert city["example_values"] == ["A", "B"]
+    assert sorted(city["example_values"]) == ["A", "B"]
     assert height["example_values"] == ["140", "150", "160"]
 
 
@@ -53,8 +53,19 @@ def test_examples_of_long_texts_come_back_whole(spark):
     df = spark.createDataFrame([(t,) for t in long + long + ["short", None]], "text string")
     row = P.column_summary(df, example_values=10).first()
     assert row["unique"] == 4
-    assert row["example_values"][0] == "short"
-    assert sorted(row["example_values"][1:]) == sorted(long)
+    assert sorted(row["example_values"]) == sorted([*long, "short"])
+
+
+@pytest.mark.parametrize("n", [1, 3, 64, 65, 2000])
+def test_examples_among_many_values(spark, n):
+    df = spark.range(3000).select((F.col("id") % 1500).alias("i"), F.concat(F.lit("w"), F.col("id") % 1500).alias("w"), (3000 - F.col("id")).alias("place"))
+    found = P.example_values(df, n).collect()
+    numbers = [r["value"] for r in sorted(found, key=lambda r: r["rank"]) if r["column"] == "i"]
+    assert numbers == [str(i) for i in range(min(n, 1500))]
+    words = {r["value"] for r in found if r["column"] == "w"}
+    assert len(words) == min(n, 1500)
+    seen = P.example_values(df, n, order_by="place").where("column = 'w'").collect()
+    assert [r["value"] for r in sorted(seen, key=lambda r: r["rank"])] == [f"w{1499 - i}" for i in range(min(n, 1500))]
 
 
 def test_text_key_keeps_texts_apart(spark):
