@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +16,7 @@ NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+MALFORMED = "_malformed_line"
 BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
 WHOLE_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 REAL_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -41,19 +42,37 @@ def read_csv(
     `spark.sql.legacy.javaCharsets=true` in the session.
     """
     whole_files = multi_line or encoding.upper().startswith(("UTF-16", "UTF-32"))
-    options = dict(
-        header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=whole_files,
-        inferSchema=False, enforceSchema=False,
-    )
+    options = dict(header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=whole_files)
     try:
-        texts = spark.read.csv(path, **options)
+        texts = _checked_lines(spark, path, options)
         texts = texts.select(*[_without_tokens(name, na_tokens) for name in texts.columns])
         types = _declared(texts, schema) if schema is not None else _inferred(texts)
         return texts.select(*[_typed(col(n), t).alias(n) for n, t in types.items()])
-    except AnalysisException as error:
+    except PySparkException as error:
         raise ValueError(f"cannot read CSV {path}: {error}") from error
 
 
+def _checked_lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """All columns as text; a line with more fields than the header stops the read.
+
+    Missing fields at the end of a line are missing values. Only lines of the wrong length, which
+    Spark hands over as they are, are looked at twice.
+    """
+    names = spark.read.csv(path, inferSchema=False, **options).columns
+    texts = [T.StructField(name, T.StringType()) for name in names]
+    schema = T.StructType([*texts, T.StructField(MALFORMED, T.StringType())])
+    # With pruning, Spark looks at the length of no line.
+    reader = spark.read.schema(schema).option("columnPruning", False)
+    lines = reader.csv(path, columnNameOfCorruptRecord=MALFORMED, enforceSchema=False, **options)
+    widened = T.StructType([*texts, T.StructField("_further", T.StringType())])
+    parts = F.from_csv(MALFORMED, widened.toDDL(), {k: options[k] for k in ("sep", "quote", "escape")})
+    too_long = parts["_further"].isNotNull()
+    stop = F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(MALFORMED))).cast("boolean")
+    # Naming a data column too keeps Spark's parser at work when a query needs no other column.
+    fine = F.when(F.col(MALFORMED).isNull(), F.lit(True)).when(too_long & col(names[0]).isNull(), stop).when(too_long, stop)
+    return lines.where(fine.otherwise(F.lit(True))).select(*[col(name) for name in names])
+
+
 def _without_tokens(name: str, tokens: Sequence[str]) -> Column:
     return F.when(~col(name).isin(list(tokens)), col(name)).alias(name)
 

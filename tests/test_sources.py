@@ -56,6 +56,17 @@ def test_errors(spark, tmp_path):
     assert require_rows(read_csv(spark, write(tmp_path, "a\n1\n", "one.csv"))).count() == 1
 
 
+def test_lines_of_the_wrong_length(spark, tmp_path):
+    short = read_csv(spark, write(tmp_path, "a,b,c\n1,2,3\n4\n5,6\n", "short.csv"))
+    assert [tuple(r) for r in short.orderBy("a").collect()] == [(1, 2, 3), (4, None, None), (5, 6, None)]
+    assert short.count() == 3
+    long = write(tmp_path, 'a,b\n1,"x,y"\n2,3,4\n', "long.csv")
+    with pytest.raises(ValueError, match="more fields"):
+        read_csv(spark, long)
+    with pytest.raises(Exception, match="more fields"):
+        read_csv(spark, long, schema="a int, b string").count()
+
+
 def activity(spark, tmp_path):
     lines = ["user_id,city,minutes,churned"]
     for i in range(36):
