@@ -24,13 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
 def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
     """Compute a helper table once, so that every later use sees the same rows.
 
-    A small result (at most max_rows rows reach the driver) becomes a literal table that joins
-    by broadcast. A larger one is checkpointed in the shared folder and joins by shuffle.
+    A small result (at most max_rows rows reach the driver, as Arrow batches) becomes a literal
+    table that joins by broadcast. A larger one is checkpointed in the shared folder and joins by
+    shuffle.
     """
     spark = df.sparkSession
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(spark.createDataFrame(rows, df.schema))
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows:
+        return F.broadcast(spark.createDataFrame(rows, schema=df.schema))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

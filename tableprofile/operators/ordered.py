@@ -1,8 +1,8 @@
 """Ordering a whole table in buckets, so that no task has to hold all of it.
 
-Cut points from an approximate quantile summary split a number into ranges. They come to the
-driver (at most MAX_BUCKETS numbers) and become literals: where they lie changes the balance of
-the work, never its result.
+Cut points from an approximate quantile summary split a number into ranges, and each range is cut
+again in equal parts. The cut points come to the driver (at most MAX_RANGES numbers) and become
+literals: where they lie changes the balance of the work, never its result.
 """
 
 from __future__ import annotations
@@ -15,24 +15,29 @@ from pyspark.sql import functions as F
 
 from tableprofile.functions.small import null_safe_on
 
-MAX_BUCKETS = 1024
+MAX_RANGES = 1024
+PARTS_OF_RANGE = 64
+MAX_BUCKETS = MAX_RANGES * PARTS_OF_RANGE
 
 
-def add_bucket(df: DataFrame, value: str, rows: DataFrame | None = None, bucket: str = "bucket") -> DataFrame:
-    """Add an int column that grows with a non-missing double column.
-
-    The cut points are taken from `rows`, or from df itself.
-    """
+def add_bucket(df: DataFrame, value: str, bucket: str = "bucket") -> DataFrame:
+    """Add an int column that grows with a non-missing double column; at most MAX_BUCKETS values."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    buckets = min(MAX_BUCKETS, max(4 * shuffles, 32))
-    chances = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set((df if rows is None else rows).approxQuantile(value, chances, 1.0 / (2 * buckets))))
+    ranges = min(MAX_RANGES, max(4 * shuffles, 32))
+    chances = [i / ranges for i in range(ranges + 1)]
+    cuts = sorted(set(df.approxQuantile(value, chances, 1.0 / (2 * ranges))))
     cuts = [c for c in cuts if abs(c) != float("inf")]
     if not cuts:
         return df.withColumn(bucket, F.lit(0))
     splits = [-float("inf"), *cuts, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol=value, outputCol=bucket, handleInvalid="keep").transform(df)
-    return ranged.withColumn(bucket, F.col(bucket).cast("int"))
+    ranged = Bucketizer(splits=splits, inputCol=value, outputCol="_range", handleInvalid="keep").transform(df)
+    # The open ranges below the first cut and above the last are not cut again.
+    place = F.col("_range").cast("int")
+    low = F.array(*[F.lit(float(c)) for c in [0.0, *cuts]])
+    width = F.array(*[F.lit(None).cast("double"), *[F.lit(b - a) for a, b in zip(cuts, cuts[1:])], F.lit(None).cast("double")])
+    part = F.floor((F.col(value) - F.get(low, place)) / F.get(width, place) * F.lit(float(PARTS_OF_RANGE)))
+    part = F.greatest(F.lit(0), F.least(F.coalesce(part, F.lit(0)), F.lit(PARTS_OF_RANGE - 1))).cast("int")
+    return ranged.withColumn(bucket, place * PARTS_OF_RANGE + part).drop("_range")
 
 
 def totals_above(df: DataFrame, keys: Sequence[str], value: str, bucket: str, sums: Sequence[str]) -> DataFrame:

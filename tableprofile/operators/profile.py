@@ -23,8 +23,8 @@ from tableprofile.functions.columns import (
 )
 from tableprofile.functions.small import top_n
 
-# One aggregate holds this many columns; further columns go to further aggregates, which
-# read other columns of the source.
+# One aggregate or one reshaping of columns to rows holds this many columns; the next ones read
+# other columns of the source.
 COLUMNS_PER_AGGREGATE = 100
 
 STATISTICS = ["min", "max", "mean", "std"]
@@ -137,15 +137,17 @@ def _long_values(
     order_by: str | None = None,
 ) -> DataFrame:
     """Present values of many columns as rows (ordinal, whole, real, text [, place])."""
-    cells: list[Column] = []
-    for i, field in numbered:
-        cells += [F.lit(i), *_value_slots(field, keep_long_text)]
-    rows = F.stack(F.lit(len(numbered)), *cells).alias("ordinal", "whole", "real", "text")
     kept = [] if order_by is None else [col(order_by).alias("place")]
-    filled = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull()
     # The ordinal is never missing; saying so keeps later joins from adding that filter to some
     # uses of the rows only, which would cost the sharing of their shuffle.
-    return df.select(*kept, rows).where(filled & F.col("ordinal").isNotNull())
+    filled = "(whole is not null or real is not null or text is not null) and ordinal is not null"
+    parts = []
+    for start in range(0, len(numbered), COLUMNS_PER_AGGREGATE):
+        chunk = numbered[start : start + COLUMNS_PER_AGGREGATE]
+        cells = [cell for i, field in chunk for cell in (F.lit(i), *_value_slots(field, keep_long_text))]
+        rows = F.stack(F.lit(len(chunk)), *cells).alias("ordinal", "whole", "real", "text")
+        parts.append(df.select(*kept, rows).where(filled))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def distinct_values_long(

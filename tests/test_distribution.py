@@ -105,6 +105,17 @@ def test_boxplot(spark):
         assert tuple(found[k])[1:] == pytest.approx(expected)
 
 
+def test_boxplot_of_moments(spark):
+    """Categories an hour apart that print alike when the clocks go back stay apart."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.sql("""SELECT * FROM VALUES (timestamp'2021-10-31 00:30:00Z', 1.0D), (timestamp'2021-10-31 00:30:00Z', 3.0D),
+            (timestamp'2021-10-31 01:30:00Z', 7.0D) AS t(k, v)""")
+        assert [r["median"] for r in D.boxplot_stats(df, "k", "v").collect()] == [2.0, 7.0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_bins(spark):
     ages = [0, 1, 18, 19, 30, 45, 60, 61, 200, 201, None]
     df = spark.createDataFrame([(a, 10.0 * i) for i, a in enumerate(ages)], "age int, v double")
