@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,20 +22,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
+def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS, maybe_large: bool = False) -> DataFrame:
     """Compute a helper table once, so that every later use sees the same rows.
 
     A small result (at most max_rows rows reach the driver, as Arrow batches) becomes a literal
     table that joins by broadcast. A larger one is checkpointed in the shared folder and joins by
-    shuffle.
+    shuffle. `maybe_large` keeps the result for the moment, so that a large one is not computed
+    twice.
     """
     spark = df.sparkSession
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows <= max_rows:
-        return F.broadcast(spark.createDataFrame(rows, schema=df.schema))
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if maybe_large else df
+    try:
+        rows = kept.limit(max_rows + 1).toArrow()
+        if rows.num_rows <= max_rows:
+            return F.broadcast(spark.createDataFrame(rows, schema=df.schema))
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        return kept.checkpoint()
+    finally:
+        if maybe_large:
+            df.unpersist()
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:

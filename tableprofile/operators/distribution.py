@@ -36,7 +36,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         return df.sparkSession.createDataFrame([], schema)
     chosen = df.select(*[col(n) for n in names])
     facts = column_facts(chosen).select("ordinal", "name", "non_null", *["mean", "std", "min", "max"])
-    quarters = exact_quantiles(_cells(chosen, names), ["ordinal"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    quarters = exact_quantiles(
+        _cells(chosen, names), ["ordinal"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], few_groups=True
+    )
     return (
         facts.join(quarters.select("ordinal", "q25", "q50", "q75"), "ordinal", "left")
         .orderBy("ordinal")

@@ -27,7 +27,9 @@ SUB_RANGES = 1024
 MERGERS = 64
 
 
-def group_brackets(rows: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+def group_brackets(
+    rows: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], few_groups: bool = False
+) -> DataFrame:
     """Per group: n, min, max and disjoint or equal (low, high) pairs around each quantile; computed now."""
     parts = rows.groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")).agg(
         F.count(value).alias("n"),
@@ -59,7 +61,7 @@ def group_brackets(rows: DataFrame, keys: Sequence[str], value: str, probabiliti
     for i in range(last - 1, -1, -1):
         same = F.col(f"low{i}") == F.col(f"low{i + 1}")
         bracketed = bracketed.withColumn(f"high{i}", F.when(same, F.col(f"high{i + 1}")).otherwise(F.col(f"high{i}")))
-    return settle(bracketed)
+    return settle(bracketed, maybe_large=not few_groups)
 
 
 def _located(rows: DataFrame, brackets: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
@@ -93,16 +95,17 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     names: Sequence[str],
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: keys, n, min, max and the linearly interpolated quantiles under `names`.
 
     Probabilities must increase. Rows with a missing value are left out; missing keys form a
-    group. Brackets and wanted sub-ranges are computed when this is called.
+    group, and `few_groups` tells that their number is bounded. Brackets and wanted sub-ranges are computed when this is called.
     """
     keys = list(keys)
     number = F.nullif(F.col(value).cast("double"), F.lit(float("nan")))
     rows = df.select(*keys, number.alias("v")).where("v is not null")
-    brackets = group_brackets(rows, keys, "v", probabilities)
+    brackets = group_brackets(rows, keys, "v", probabilities, few_groups)
     facts = brackets.select(*[F.col(k).alias(f"g_{k}") for k in keys], "n", "min", "max")
     on_group = [(k, f"g_{k}") for k in keys]
     located = _located(rows, brackets, keys, len(probabilities))

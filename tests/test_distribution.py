@@ -51,7 +51,7 @@ def test_unsettled_brackets(spark, monkeypatch):
     """More groups than the driver may hold: the helper tables are checkpointed and joined by shuffle."""
     from tableprofile.functions import small
 
-    monkeypatch.setattr(Q, "settle", lambda df: small.settle(df, 3))
+    monkeypatch.setattr(Q, "settle", lambda df, maybe_large=False: small.settle(df, 3, maybe_large))
     df = spark.range(1000).select((F.col("id") % 10).alias("g"), F.col("id").cast("double").alias("x"))
     found = {r["g"]: r["m"] for r in Q.exact_quantiles(df, ["g"], "x", [0.5], ["m"]).collect()}
     assert found == {g: 495.0 + g for g in range(10)}
