@@ -58,9 +58,9 @@ l AS MATERIALIZED (
   SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)
 ), e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (
-  SELECT doc_id AS id, doc_id AS at FROM documents
-  UNION SELECT r.id, e.b FROM r JOIN e ON r.at = e.a
-), c AS (SELECT id, min(at) AS component_id FROM r GROUP BY id)
+  SELECT doc_id AS id, doc_id AS v FROM documents
+  UNION SELECT r.id, e.b FROM r JOIN e ON r.v = e.a
+), c AS (SELECT id, min(v) AS component_id FROM r GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
