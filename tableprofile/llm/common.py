@@ -43,6 +43,12 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, after limiting the session's Arrow batches to 1,000 rows: whole texts go to Python, and a batch must stay small."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
 def values(column: pa.Array) -> Iterator[np.ndarray]:
     """The bytes of each value of a binary column, without copies; a null is empty."""
     wide = pa.types.is_large_binary(column.type)

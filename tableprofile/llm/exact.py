@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableprofile.llm.common import saved
+from tableprofile.llm.common import in_small_batches, saved
 
 
 class Trie:
@@ -152,7 +152,7 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     the id and the text of the row that stays are all marked as kept. An empty table gives no rows;
     other columns of any name are not read.
     """
-    mine = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(one_space(F.col(f"`{text}`")), "UTF-8").alias("text"))
+    mine = in_small_batches(docs).select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(one_space(F.col(f"`{text}`")), "UTF-8").alias("text"))
     owners = text_owners(mine).where("copies > 1").select(F.sha2("text", 256).alias("digest"), "owner", "copies")
     owners = saved(owners)
     rows = mine.select("id", F.sha2("text", 256).alias("text_sha256"))

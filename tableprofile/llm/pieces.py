@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableprofile.llm.common import lists
+from tableprofile.llm.common import in_small_batches, lists
 
 SPACE = "▁"  # the mark that pieces hold in place of a space
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -50,7 +50,7 @@ class Vocabulary:
 class Encoder:
     """One per task: the automaton, and the segmentations of short words met so far."""
 
-    def __init__(self, vocabulary: Vocabulary, max_words: int = 100_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, max_words: int = 30_000) -> None:
         import ahocorasick
 
         self.v, self.max_words, self.seen = vocabulary, max_words, {}
@@ -133,8 +133,8 @@ def encoded(docs: DataFrame, model_file: str, id: str = "doc_id", text: str = "t
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 ids, digests, exact = [], [], []
                 for value in part.column(1).to_pylist():
                     found = encoder.encode(value)
@@ -147,5 +147,5 @@ def encoded(docs: DataFrame, model_file: str, id: str = "doc_id", text: str = "t
                     names=["doc_id", "n_tokens", "ids", "decoded_sha256", "exact"],
                 )
 
-    rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    rows = in_small_batches(docs).select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string, exact boolean")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.llm import textbytes as T
-from tableprofile.llm.common import lists, values
+from tableprofile.llm.common import in_small_batches, lists, values
 
 BUCKETS = 1 << 18
 U = np.uint64
@@ -153,7 +153,7 @@ def quality_grades(
     """
     model = train(docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8").alias("text")), ratings, n_grades, **settings)
     grade = judged(model, F.col(f"`{text}`"), least)
-    out = docs.withColumn("quality", grade)
+    out = in_small_batches(docs).withColumn("quality", grade)
     return out.withColumn("quality", F.struct("quality.expected_grade", "quality.tail", F.coalesce(F.col("quality.tail") >= tail, F.lit(True)).alias("kept")))
 
 

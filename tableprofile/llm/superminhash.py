@@ -8,11 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.llm import textbytes as T
-from tableprofile.llm.common import components, lists, saved, small, values
+from tableprofile.llm.common import components, in_small_batches, lists, saved, small, values
 
 U = np.uint64
 
@@ -92,25 +92,33 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(sets, "id long, items array<long>")
 
 
-def _verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, words: int, percent: int, floor: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough.
-
-    Pairs whose sizes exclude the similarity go first, then those of which fewer than `floor`
-    signature values agree.
-    """
+def _likely(pairs: DataFrame, sizes: DataFrame, percent: int, floor: int) -> DataFrame:
+    """The pairs (a, b) that their sizes do not exclude and of which at least `floor` signature values agree."""
     a = sizes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     b = sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    likely = saved(
-        pairs.join(a, "a").join(b, "b")
-        .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (agree >= floor))
-        .select("a", "b")
-    )
-    ids = saved(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct())
-    sets = saved(shingle_sets(texts.join(small(ids), "id"), words))
-    both = likely.join(sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b")
+    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (agree >= floor)
+    return saved(pairs.join(a, "a").join(b, "b").where(near).select("a", "b"))
+
+
+def _linked(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
+    a, b = sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), sets.select(F.col("id").alias("b"), F.col("items").alias("ib"))
     shared = F.size(F.array_intersect("ia", "ib"))
-    return saved(both.where(100 * shared >= percent * (F.size("ia") + F.size("ib") - shared)).select("a", "b"))
+    return saved(likely.join(a, "a").join(b, "b").where(100 * shared >= percent * (F.size("ia") + F.size("ib") - shared)).select("a", "b"))
+
+
+def _possible(n: Column, own: Column, other: Column, percent: int) -> Column:
+    """Whether a set of n items, of which `own` are in no other set, can be similar enough to one of `other` items."""
+    return 100 * (n - own) >= percent * (other + own)
+
+
+def _live(placed: DataFrame) -> DataFrame:
+    """Buckets that still hold several components, with the member that has the least of its own."""
+    by = [F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high")]
+    if "own" in placed.columns:
+        by.append(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "rep")).alias("lead"))
+    return saved(placed.groupBy("bucket").agg(*by).where("low < high"))
 
 
 def near_groups(
@@ -127,13 +135,15 @@ def near_groups(
 
     Equal sets are one representative from the start. Candidates agree in a band of `rows` signature
     values; there are as many bands as it takes that a pair on the threshold is missed with a
-    probability of at most `miss`. No bucket is expanded into all pairs: each bucket first compares its
-    members with its smallest one; what a round links is one component and never compared again;
-    buckets that still hold several components compare with 16, 256, ... members of them until
-    every member has been compared or joined. Every link counts only after an intersection of the
+    probability of at most `miss`. No bucket is expanded into all pairs: each first compares
+    its members with its smallest one, and what a round links is one component, never compared
+    again. Of the members of buckets that still hold several components those go which have too many
+    shingles of their own, found in no other such member, to be similar to any. The rest is compared
+    with the member that has the least of its own, then with 16, 256, ... members, until every member
+    has been compared or joined. Every link counts only after an intersection of the
     whole sets.
     """
-    texts = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8").alias("text"))
+    texts = in_small_batches(docs).select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8").alias("text"))
     bands = math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows)) if percent < 100 else 1
     drawn = saved(sketches(texts, words, bands, rows))
     full = drawn.where("n > 0 and id is not null")
@@ -148,36 +158,51 @@ def near_groups(
     k = bands * rows
     floor = max(1, int(k * percent / 100 - sigmas * (k * percent / 100 * (1 - percent / 100)) ** 0.5))
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        ids = saved(ids.distinct())
+        return saved(shingle_sets(texts.join(small(ids), "id"), words))
+
     pairs = saved(buckets.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    links = _verified(pairs, sizes, texts, words, percent, floor)
-    checked, done, take = pairs, 2, 16
+    likely = _likely(pairs, sizes, percent, floor)
+    links = _linked(likely, sets_of(likely.select(F.col("a").alias("id")).union(likely.select("b"))), percent)
+    checked, pool, sets, take = pairs, buckets.where("size > 2").select("bucket", "rep"), None, 1
     while True:
         joined = components(links)
         n_joined = joined.count()
-        placed = saved(
-            buckets.where(F.col("size") > done).join(small(joined, n_joined), F.col("rep") == F.col("id"), "left")
-            .select("bucket", "size", "rep", F.coalesce("component", "rep").alias("c"))
-        )
-        live = saved(placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max("size").alias("most")).where("low < high"))
-        most = live.agg(F.max("most")).first()[0]
+        placed = saved(pool.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select(*pool.columns, F.coalesce("component", "rep").alias("c")))
+        if sets is None:
+            live = _live(placed)
+            if live.isEmpty():
+                break
+            placed = placed.join(small(live.select("bucket")), "bucket")
+            sets = sets_of(placed.select(F.col("rep").alias("id")))
+            alone = sets.select("id", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("sets"), F.min("id").alias("id")).where("sets = 1")
+            own = saved(alone.groupBy("id").agg(F.count("*").alias("own")))
+            facts = saved(sets.select("id", F.size("items").cast("long").alias("n")).join(own, "id", "left").select(F.col("id").alias("rep"), "n", F.coalesce("own", F.lit(0).cast("long")).alias("own")))
+            placed = saved(placed.join(small(facts), "rep"))
+        least = saved(placed.groupBy("bucket").agg(F.min("n").alias("least")))
+        placed = saved(placed.join(small(least), "bucket").where(_possible(F.col("n"), F.col("own"), F.greatest("least", F.ceil(F.col("n") * percent / 100)), percent)).drop("least"))
+        live = _live(placed)
+        most = live.agg(F.max("size")).first()[0]
         if most is None:
             break
-        rest = saved(placed.join(small(live.select("bucket"), live.count()), "bucket"))
+        pool = saved(placed.join(small(live.select("bucket", "size", "lead")), "bucket"))
         chance = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(1 << 20)
-        lead = rest.where(chance < F.lit(take) / F.col("size")) if take < most else rest
+        chosen = F.col("rep") == F.col("lead.rep") if take == 1 else (chance < F.lit(take) / F.col("size")) | F.lit(take >= most)
+        first = pool.where(chosen).select("bucket", F.col("rep").alias("p"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("own").alias("po"))
         new = (
-            lead.select("bucket", F.col("rep").alias("p"), F.col("c").alias("pc"))
-            .join(rest.select("bucket", "rep", "c"), "bucket").where("pc <> c")
+            first.join(pool.select("bucket", "rep", "c", "n", "own"), "bucket")
+            .where((F.col("pc") != F.col("c")) & _possible(F.col("n"), F.col("own"), F.col("pn"), percent) & _possible(F.col("pn"), F.col("po"), F.col("n"), percent))
             .select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
         )
         new = saved(new.join(checked, ["a", "b"], "left_anti"))
-        links = saved(links.union(_verified(new, sizes, texts, words, percent, floor)))
+        links = saved(links.union(_linked(_likely(new, sizes, percent, floor), sets, percent)))
         checked = saved(checked.union(new))
         if take >= most:
             joined = components(links)
             n_joined = joined.count()
             break
-        take *= 16
+        pool, take = pool.select("bucket", "rep", "n", "own"), take * 16
     named = reps.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select("key", F.coalesce("component", "rep").alias("component"), "rep", "copies")
     named = saved(named.where("copies > 1 or component <> rep").select(F.col("key").alias("k"), "component"))
     out = drawn.join(named, F.col("key") == F.col("k"), "left")
