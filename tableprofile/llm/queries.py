@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tableprofile.llm.chat import conversation_digests, examples
 from tableprofile.llm.common import table
 from tableprofile.llm.exact import exact_groups
+from tableprofile.llm.html import extracted
+from tableprofile.llm.langid import predicted
 from tableprofile.llm.mixing import mixture
 from tableprofile.llm.pieces import encoded
 from tableprofile.llm.quality import grades_of, quality_grades
@@ -33,11 +35,23 @@ def op1_quality_classifier(spark, folder):
     return out.select("doc_id", F.round("quality.expected_grade", 6).alias("expected_grade"), F.round("quality.tail", 6).alias("tail"), "quality.kept")
 
 
+@query
+def op3_language_id(spark, folder):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    out = predicted(table(spark, folder, "documents"), ~F.coalesce(held_out, F.lit(False)))
+    return out.select("doc_id", held_out.alias("held_out"), "language.lang_pred", F.round("language.score", 9).alias("score"))
+
+
 @query
 def op4_topk(spark, folder):
     return top_k(table(spark, folder, "embeddings"))
 
 
+@query
+def op5_html_extraction(spark, folder):
+    return extracted(table(spark, folder, "pages"))
+
+
 @query
 def op6_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
