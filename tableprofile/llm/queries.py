@@ -15,6 +15,7 @@ from tableprofile.llm.langid import predicted
 from tableprofile.llm.mixing import mixture
 from tableprofile.llm.pieces import encoded
 from tableprofile.llm.quality import grades_of, quality_grades
+from tableprofile.llm.suffix import deduplicated
 from tableprofile.llm.superminhash import near_groups
 from tableprofile.llm.topk import top_k
 
@@ -35,6 +36,11 @@ def op1_quality_classifier(spark, folder):
     return out.select("doc_id", F.round("quality.expected_grade", 6).alias("expected_grade"), F.round("quality.tail", 6).alias("tail"), "quality.kept")
 
 
+@query
+def op2_suffix_dedup(spark, folder):
+    return deduplicated(table(spark, folder, "documents"))
+
+
 @query
 def op3_language_id(spark, folder):
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
