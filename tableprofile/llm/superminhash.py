@@ -48,21 +48,32 @@ def signature(hashes: np.ndarray, k: int) -> np.ndarray:
     return best
 
 
+PARITIES = 1024
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For 1,024 groups of elements whether their number is odd, as 16 longs. Two sets differ in at least as many elements as their parities do."""
+    odd = np.bincount((hashes >> U(54)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 SKETCH = pa.schema([
     ("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("sig", pa.list_(pa.int32())), ("bands", pa.list_(pa.int64())),
+    ("odd", pa.list_(pa.int64())),
 ])
 
 
 def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """Per document: size and digest of the shingle set, signature, and one hash per band of `rows` signature values."""
+    """Per document: size and digest of the shingle set, signature, one hash per band of `rows` signature values, parities."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         streams = T.draw(np.arange(bands, dtype=U), 7)
         for batch in batches:
-            n, keys, sigs, cuts = [], [], [], []
+            n, keys, sigs, cuts, odd = [], [], [], [], []
             for data in values(batch.column(1)):
                 found = T.shingles(data, words)
                 n.append(len(found))
+                odd.append(parities(found))
                 keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 if not len(found):
                     sigs.append(np.zeros(0, np.int32))
@@ -75,10 +86,11 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                     band = T.mix(band * U(0x9E3779B97F4A7C15) + sig[i::rows])
                 cuts.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists(sigs, pa.int32()), lists(cuts, pa.int64())], schema=SKETCH
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists(sigs, pa.int32()), lists(cuts, pa.int64()), lists(odd, pa.int64())],
+                schema=SKETCH,
             )
 
-    return docs.mapInArrow(sketch, "id long, n long, key binary, sig array<int>, bands array<long>")
+    return docs.mapInArrow(sketch, "id long, n long, key binary, sig array<int>, bands array<long>, odd array<long>")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -108,17 +120,18 @@ def _linked(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return saved(likely.join(a, "a").join(b, "b").where(100 * shared >= percent * (F.size("ia") + F.size("ib") - shared)).select("a", "b"))
 
 
-def _possible(n: Column, own: Column, other: Column, percent: int) -> Column:
-    """Whether a set of n items, of which `own` are in no other set, can be similar enough to one of `other` items."""
-    return 100 * (n - own) >= percent * (other + own)
+def _possible(percent: int) -> Column:
+    """Whether (n, odd) and (pn, podd) can be similar enough: sets that are differ in few elements, so also in few parities."""
+    differ = F.lit(0)
+    for i in range(PARITIES // 64):
+        differ = differ + F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("podd")[i]))
+    return (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & ((100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("pn")))
 
 
 def _live(placed: DataFrame) -> DataFrame:
-    """Buckets that still hold several components, with the member that has the least of its own."""
-    by = [F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high")]
-    if "own" in placed.columns:
-        by.append(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "rep")).alias("lead"))
-    return saved(placed.groupBy("bucket").agg(*by).where("low < high"))
+    """Buckets that still hold several components."""
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high"))
+    return saved(sizes.where("low < high").select("bucket", "size"))
 
 
 def near_groups(
@@ -137,10 +150,9 @@ def near_groups(
     values; there are as many bands as it takes that a pair on the threshold is missed with a
     probability of at most `miss`. No bucket is expanded into all pairs: each first compares
     its members with its smallest one, and what a round links is one component, never compared
-    again. Of the members of buckets that still hold several components those go which have too many
-    shingles of their own, found in no other such member, to be similar to any. The rest is compared
-    with the member that has the least of its own, then with 16, 256, ... members, until every member
-    has been compared or joined. Every link counts only after an intersection of the
+    again. Buckets that still hold several components compare with 4, 64, ... members until every
+    member has been compared or joined; the parities of the sets tell, without error, most pairs that
+    cannot be similar enough before they are made. Every link counts only after an intersection of the
     whole sets.
     """
     texts = in_small_batches(docs).select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8").alias("text"))
@@ -148,7 +160,7 @@ def near_groups(
     drawn = saved(sketches(texts, words, bands, rows))
     full = drawn.where("n > 0 and id is not null")
     reps = saved(
-        full.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("n", "sig", "bands"), "id").alias("p"))
+        full.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("n", "sig", "bands", "odd"), "id").alias("p"))
         .select("key", "rep", "copies", "p.*")
     )
     sizes = reps.select("rep", "n", "sig")
@@ -165,44 +177,31 @@ def near_groups(
     pairs = saved(buckets.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
     likely = _likely(pairs, sizes, percent, floor)
     links = _linked(likely, sets_of(likely.select(F.col("a").alias("id")).union(likely.select("b"))), percent)
-    checked, pool, sets, take = pairs, buckets.where("size > 2").select("bucket", "rep"), None, 1
+    checked, pool, take = pairs, buckets.where("size > 2").select("bucket", "rep"), 4
     while True:
         joined = components(links)
         n_joined = joined.count()
-        placed = saved(pool.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select(*pool.columns, F.coalesce("component", "rep").alias("c")))
-        if sets is None:
-            live = _live(placed)
-            if live.isEmpty():
-                break
-            placed = placed.join(small(live.select("bucket")), "bucket")
-            sets = sets_of(placed.select(F.col("rep").alias("id")))
-            alone = sets.select("id", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("sets"), F.min("id").alias("id")).where("sets = 1")
-            own = saved(alone.groupBy("id").agg(F.count("*").alias("own")))
-            facts = saved(sets.select("id", F.size("items").cast("long").alias("n")).join(own, "id", "left").select(F.col("id").alias("rep"), "n", F.coalesce("own", F.lit(0).cast("long")).alias("own")))
-            placed = saved(placed.join(small(facts), "rep"))
-        least = saved(placed.groupBy("bucket").agg(F.min("n").alias("least")))
-        placed = saved(placed.join(small(least), "bucket").where(_possible(F.col("n"), F.col("own"), F.greatest("least", F.ceil(F.col("n") * percent / 100)), percent)).drop("least"))
+        placed = saved(pool.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("c")))
         live = _live(placed)
         most = live.agg(F.max("size")).first()[0]
         if most is None:
             break
-        pool = saved(placed.join(small(live.select("bucket", "size", "lead")), "bucket"))
+        rest = saved(placed.join(small(live), "bucket"))
+        rest = saved(rest.join(reps.select("rep", "n", "odd"), "rep"))
         chance = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(1 << 20)
-        chosen = F.col("rep") == F.col("lead.rep") if take == 1 else (chance < F.lit(take) / F.col("size")) | F.lit(take >= most)
-        first = pool.where(chosen).select("bucket", F.col("rep").alias("p"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("own").alias("po"))
-        new = (
-            first.join(pool.select("bucket", "rep", "c", "n", "own"), "bucket")
-            .where((F.col("pc") != F.col("c")) & _possible(F.col("n"), F.col("own"), F.col("pn"), percent) & _possible(F.col("pn"), F.col("po"), F.col("n"), percent))
-            .select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
-        )
+        first = rest.where((chance < F.lit(take) / F.col("size")) | F.lit(take >= most))
+        first = first.select("bucket", F.col("rep").alias("p"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("odd").alias("podd"))
+        new = first.join(rest.select("bucket", "rep", "c", "n", "odd"), "bucket").where((F.col("pc") != F.col("c")) & _possible(percent))
+        new = new.select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
         new = saved(new.join(checked, ["a", "b"], "left_anti"))
-        links = saved(links.union(_linked(_likely(new, sizes, percent, floor), sets, percent)))
+        likely = _likely(new, sizes, percent, floor)
+        links = saved(links.union(_linked(likely, sets_of(likely.select(F.col("a").alias("id")).union(likely.select("b"))), percent)))
         checked = saved(checked.union(new))
         if take >= most:
             joined = components(links)
             n_joined = joined.count()
             break
-        pool, take = pool.select("bucket", "rep", "n", "own"), take * 16
+        pool, take = rest.select("bucket", "rep"), take * 16
     named = reps.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select("key", F.coalesce("component", "rep").alias("component"), "rep", "copies")
     named = saved(named.where("copies > 1 or component <> rep").select(F.col("key").alias("k"), "component"))
     out = drawn.join(named, F.col("key") == F.col("k"), "left")
