@@ -142,8 +142,8 @@ def top_k(df: DataFrame, every: int = 100, k: int = 10, id: str = "vec_id", vect
     Score: inner product of floor(scale * x); a shorter vector counts as padded with zeros. Returns
     query_id, rank (from 1), vec_id, score; ties go to the smaller id; fewer rows where there are
     fewer candidates. Vectors that are null or hold a null, NaN or infinity take no part; of repeated
-    ids each row is a candidate, the one of longest, then largest vector is the query. Scores beyond
-    a long are held at its limits. An empty table gives no rows.
+    ids each row is a candidate, the one of longest, then largest vector is the query. Components and
+    scores beyond a long are held at its limits. An empty table gives no rows.
 
     Queries are taken in blocks of bounded bytes, by a hash of the id; one block at a time travels to
     all candidates, which are never shuffled. Per block: the range of scores, then histograms that
