@@ -403,6 +403,11 @@ FROM (SELECT *, {PROFILE_SCORE} AS quality_score FROM (SELECT c_custkey, c_custk
         LINES.replace(" FROM lineitem", ", 1e0 AS l_constant FROM lineitem"), numeric(LINES_COLUMNS) + ["l_constant"]
     ),
     "correlation_wide": correlation_sql(EMBEDDING_WIDE, [f"d{i}" for i in range(WIDE_COLUMNS)]),
+    "correlation_offset": "SELECT * REPLACE (round(correlation, 6) AS correlation) FROM (" + correlation_sql(
+        "SELECT l_quantity + CASE WHEN l_orderkey % 50 = 0 THEN 1e7 ELSE 0e0 END AS moved, CASE WHEN l_orderkey % 50 = 0 THEN l_extendedprice END AS seldom, "
+        "l_quantity, l_discount, l_tax, l_linenumber FROM lineitem",
+        ["moved", "seldom", "l_quantity", "l_discount", "l_tax", "l_linenumber"],
+    ) + ")",
     "correlation_matrix": matrix_sql(LINES, MATRIX_COLUMNS),
     "correlation_heatmap": correlation_sql("SELECT * FROM part", ["p_partkey", "p_size", "p_retailprice"]),
     "scatter_points": f"SELECT o_custkey AS x, o_totalprice AS y, o_orderpriority AS category FROM ({ORDERS}) WHERE o_totalprice IS NOT NULL",
@@ -441,6 +446,8 @@ FROM ({CUSTOMERS})""",
     "missing_from_summary_rows": missing_sql(LINES, LINES_COLUMNS),
     "report_summary_file": f"""SELECT * EXCLUDE (ordinal) REPLACE (round(min, 6) AS min, round(max, 6) AS max)
 FROM ({summary_sql(CUSTOMERS, CUSTOMER_COLUMNS, None)})""",
+    "report_missing_file": missing_sql(LINES, LINES_COLUMNS),
+    "report_correlation_file": matrix_sql(LINES, MATRIX_COLUMNS),
     "report_top_files": top_sql(["p_name", "p_brand", "p_type"], "part"),
     "array_features": """SELECT vec_id, '0.0,0.0,0.0,0.0,0.0,0.0' AS zeros, '1.0,1.0,1.0,1.0,1.0,1.0' AS ones, '0,1,2,3,4,5' AS numbers,
   CAST(embedding[3] AS DOUBLE) AS third, CAST(embedding[12] AS DOUBLE) AS second_row_fourth,

@@ -133,7 +133,7 @@ def value_shares(spark, folder):
 
 @query
 def top_categories(spark, folder):
-    return rounded(frequency.top_categories(table(spark, folder, "part")), 9, "share")
+    return rounded(frequency.top_categories(table(spark, folder, "part"), max_columns=5), 9, "share")
 
 
 @query
@@ -246,7 +246,7 @@ def correlation_long(spark, folder):
     return rounded(relations.correlation_long(lines), 9, "correlation")
 
 
-WIDE_COLUMNS = 16
+WIDE_COLUMNS = 64
 
 
 @query
@@ -259,6 +259,17 @@ def correlation_wide(spark, folder):
     return rounded(relations.correlation_long(wide), 9, "correlation")
 
 
+@query
+def correlation_offset(spark, folder):
+    """One column far from its other values in the few rows in which its partner is present."""
+    few = F.col("l_orderkey") % 50 == 0
+    lines = table(spark, folder, "lineitem").select(
+        (F.col("l_quantity") + F.when(few, 1e7).otherwise(0.0)).alias("moved"), F.when(few, F.col("l_extendedprice")).alias("seldom"),
+        "l_quantity", "l_discount", "l_tax", "l_linenumber",
+    )
+    return rounded(relations.correlation_long(lines), 6, "correlation")
+
+
 MATRIX_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -286,7 +297,7 @@ def describe_numeric(spark, folder):
 
 @query
 def histogram_bins(spark, folder):
-    return rounded(distribution.histogram_bins(orders_with_gaps(spark, folder)), 6, "bin_low", "bin_high")
+    return rounded(distribution.histogram_bins(orders_with_gaps(spark, folder), max_columns=6), 6, "bin_low", "bin_high")
 
 
 @query
@@ -411,7 +422,7 @@ def csv_round_trip(spark, folder):
 
 @query
 def report_metrics_facts(spark, folder):
-    return report_metrics(customer_with_constant(spark, folder), source="customer")
+    return report_metrics(customer_with_constant(spark, folder), source="customer", max_hist_columns=6, max_top_columns=5)
 
 
 @query
@@ -423,7 +434,7 @@ def missing_from_summary_rows(spark, folder):
 @query
 def report_summary_file(spark, folder):
     path = scratch(spark)
-    write_report(customer_with_constant(spark, folder), path, source="customer")
+    write_report(customer_with_constant(spark, folder), path, source="customer", max_hist_columns=6, max_top_columns=5)
     summary = read_csv(spark, f"{path}/summary")
     return rounded(summary, 6, "missing_share", "min", "max", "mean", "std")
 
@@ -436,6 +447,21 @@ def report_top_files(spark, folder):
     return rounded(tops.withColumn("column", F.col("column").cast("string")), 9, "share")
 
 
+@query
+def report_missing_file(spark, folder):
+    path = scratch(spark)
+    write_report(lineitem_with_gaps(spark, folder), path, file_format="parquet")
+    return rounded(spark.read.parquet(f"{path}/missing"), 9, "missing_share")
+
+
+@query
+def report_correlation_file(spark, folder):
+    path = scratch(spark)
+    write_report(lineitem_with_gaps(spark, folder).select(*MATRIX_COLUMNS), path, file_format="parquet")
+    matrix = spark.read.parquet(f"{path}/correlation")
+    return rounded(matrix, 9, *MATRIX_COLUMNS)
+
+
 # --- arrays ------------------------------------------------------------------------------
 
 

@@ -96,8 +96,8 @@ def text_key(column: Column) -> Column:
 
 
 def clamp(column: Column, low: float, high: float) -> Column:
-    """The value moved into low..high; NULL stays NULL."""
-    return F.when(column < low, F.lit(low)).when(column > high, F.lit(high)).otherwise(column)
+    """The value moved into low..high; NULL and NaN stay as they are."""
+    return F.when(column < low, F.lit(low)).when((column > high) & ~F.isnan(column), F.lit(high)).otherwise(column)
 
 
 def clamp_unit(column: Column) -> Column:

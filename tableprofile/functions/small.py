@@ -14,9 +14,11 @@ MAX_LOCAL_ROWS = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, else a local one for tests."""
+    """Folder every executor can reach: `spark.checkpoint.dir`. Where it is unset a local session gets a temporary one, a cluster an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tableprofile-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

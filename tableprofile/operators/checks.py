@@ -87,8 +87,8 @@ def range_check(df: DataFrame, expectations: Sequence[Expected]) -> DataFrame:
         if expected.allowed is not None:
             outside = outside | ~value.isin(list(expected.allowed))
         aggregates += [
-            F.min(value).cast("double").alias(f"min{i}"),
-            F.max(value).cast("double").alias(f"max{i}"),
+            F.min(value).try_cast("double").alias(f"min{i}"),
+            F.max(value).try_cast("double").alias(f"max{i}"),
             F.count_if(outside).alias(f"n{i}"),
         ]
         cells += [F.lit(expected.column), F.col(f"min{i}"), F.col(f"max{i}"), F.col(f"n{i}"), F.col(f"n{i}") == 0]

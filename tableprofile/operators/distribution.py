@@ -53,12 +53,13 @@ def histogram_bins(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     bins: int = 20,
-    max_columns: int = 6,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """(position, column, bin, bin_low, bin_high, count): equal-width bins, empty bins included.
 
-    Columns without values have no rows but keep their position among the first max_columns. A
-    column with a single value is binned on value - 0.5 .. value + 0.5.
+    All numeric columns, or the first max_columns if that is given. Columns without values have no
+    rows but keep their position. A column with a single value is binned on value - 0.5 .. value +
+    0.5. An infinity in a column is an error: no bins of equal width hold it.
     """
     names = [n for n in numeric_columns(df) if columns is None or n in columns][:max_columns]
     if not names:
@@ -68,10 +69,11 @@ def histogram_bins(
     flat = F.col("min") == F.col("max")
     limits = column_facts(chosen).where("min is not null").select(
         "ordinal", "name",
-        F.when(flat, F.col("min") - 0.5).otherwise(F.col("min")).alias("low"),
+        F.when((F.col("min") == float("-inf")) | (F.col("max") == float("inf")), F.raise_error(F.concat(F.lit("infinite values in "), F.col("name"))).cast("double"))
+        .when(flat, F.col("min") - 0.5).otherwise(F.col("min")).alias("low"),
         F.when(flat, F.col("max") + 0.5).otherwise(F.col("max")).alias("high"),
     )
-    # One row of limits per column: the broadcast is bounded by max_columns.
+    # One row of limits per column: the broadcast is bounded by their number.
     counts = (
         _cells(chosen, names)
         .join(F.broadcast(limits), "ordinal")

@@ -30,11 +30,11 @@ def value_shares(df: DataFrame, column: str, scale: float = 1.0) -> DataFrame:
     )
 
 
-def top_categories(df: DataFrame, max_columns: int = 5, top_k: int = 5) -> DataFrame:
-    """(column, rank, value, count, share): top_k values of the first max_columns text columns.
+def top_categories(df: DataFrame, max_columns: int | None = None, top_k: int = 5) -> DataFrame:
+    """(column, rank, value, count, share): top_k values of every text column, or of the first max_columns.
 
     Shares are of the kept values of the column, not of all its rows. A column without any
-    present value has no rows, yet still takes one of the max_columns places.
+    present value has no rows, yet still takes a place among the first.
     """
     names = categorical_columns(df, max_columns)
     if not names:

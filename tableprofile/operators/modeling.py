@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableprofile.functions.columns import col
+from tableprofile.functions.columns import col, fields, present
 from tableprofile.functions.small import null_safe_on, settle
 from tableprofile.operators.metrics import binary_metrics, roc_auc
 
@@ -111,7 +111,7 @@ def fit_scaler(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, mean, std) with the population standard deviation; one aggregate."""
     aggregates, cells = [], []
     for i, name in enumerate(features):
-        value = col(name).cast("double")
+        value = present(fields(df, [name])[0]).cast("double")
         aggregates += [F.avg(value).alias(f"mean{i}"), F.stddev_pop(value).alias(f"std{i}")]
         cells += [F.lit(name), F.col(f"mean{i}"), F.col(f"std{i}")]
     return df.agg(*aggregates).select(F.stack(F.lit(len(features)), *cells).alias("feature", "mean", "std"))
@@ -194,7 +194,10 @@ def predict_all(df: DataFrame, fitted: Fitted, keep: Sequence[str]) -> DataFrame
 def predict(df: DataFrame, fitted: Fitted, c: float) -> DataFrame:
     """Add `prediction` and `probability` (of class 1) by the model of one C."""
     chosen = Fitted(fitted.features, fitted.scaler, {c: fitted.models[c]})
-    return predict_all(df, chosen, df.columns).drop("c")
+    scored = predict_all(df, chosen, df.columns)
+    # The model's C comes last before the prediction; a column of df may have its name.
+    names = [*df.columns, "_c", "prediction", "probability"]
+    return scored.toDF(*[f"_{i}" for i in range(len(names))]).select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names) if n != "_c"])
 
 
 def grid_metrics(validation: DataFrame, fitted: Fitted, label: str) -> DataFrame:

@@ -25,8 +25,8 @@ HIGH_CARDINALITY_PENALTY = 0.15
 ONLY_CATEGORICAL_PENALTY = 0.1
 ONLY_NUMERIC_PENALTY = 0.05
 
-READY = "The data look good enough to train a model (by the current heuristics)."
-NOT_READY = "The data need more work before a model is trained (by the current heuristics)."
+READY = "Fit for training under the present rules."
+NOT_READY = "Not yet fit for training under the present rules."
 
 
 def quality_flags(df: DataFrame) -> DataFrame:

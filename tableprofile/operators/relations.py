@@ -6,32 +6,26 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions.columns import clamp, col, fields, numeric_columns, present
 
-# Up to this many columns all pairs fit in one aggregate of built-in expressions; with more, that
-# aggregate is too large to be compiled well, and matrix products are several times faster.
-COLUMNS_PER_AGGREGATE = 4
-
 LONG_SCHEMA = "x_order int, column_x string, y_order int, column_y string, correlation double"
-MOMENTS_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+MOMENTS = ["n", "mx", "my", "sxx", "syy", "sxy", "low_x", "high_x", "low_y", "high_y"]
 
 
 def correlation_long(df: DataFrame, columns: Sequence[str] | None = None, min_columns: int = 1) -> DataFrame:
     """(column_x, column_y, correlation) for every ordered pair of numeric columns.
 
-    Each pair uses the rows in which both values are present. NULL where a side is constant.
+    Each pair uses the rows in which both values are present, and no other pair or column changes
+    its result. NULL where a side is constant or not finite in those rows.
     Empty for an empty table or with fewer than min_columns numeric columns.
     """
     names = [n for n in numeric_columns(df) if columns is None or n in columns]
     if len(names) < max(min_columns, 1):
         return df.sparkSession.createDataFrame([], LONG_SCHEMA).select("column_x", "column_y", "correlation")
-    if len(names) <= COLUMNS_PER_AGGREGATE:
-        upper = _pairs_by_aggregate(df, names)
-    else:
-        upper = _pairs_by_blocks(df, names)
+    upper = _pairs(df, names)
     label = F.array(*[F.lit(n) for n in names])
     there, back = F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
     both = F.when(F.col("i") < F.col("j"), F.array(there, back)).otherwise(F.array(there))
@@ -47,90 +41,75 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None, min_co
     )
 
 
-def _ratio(covariance: Column, x_variance: Column, y_variance: Column) -> Column:
-    """Covariance over the root of the variances; NULL for a constant side, within -1..1."""
-    ratio = F.try_divide(covariance, F.sqrt(x_variance) * F.sqrt(y_variance))
-    return clamp(ratio, -1.0, 1.0)
-
-
-def _pairs_by_aggregate(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(i, j, correlation) for i <= j: one scan, one aggregate row."""
-    values = [present(f).cast("double") for f in fields(df, names)]
-    chosen = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
-    aggregates, cells = [F.count(F.lit(1)).alias("n_rows")], []
-    for i in range(len(names)):
-        aggregates.append(F.var_pop(f"v{i}").alias(f"var{i}"))
-        cells += [F.lit(i), F.lit(i), F.when(F.col(f"var{i}") > 0, F.lit(1.0))]
-        for j in range(i + 1, len(names)):
-            x, y = F.col(f"v{i}"), F.col(f"v{j}")
-            aggregates += [
-                F.covar_pop(x, y).alias(f"c{i}_{j}"),
-                F.var_pop(F.when(y.isNotNull(), x)).alias(f"x{i}_{j}"),
-                F.var_pop(F.when(x.isNotNull(), y)).alias(f"y{i}_{j}"),
-            ]
-            cells += [F.lit(i), F.lit(j), _ratio(F.col(f"c{i}_{j}"), F.col(f"x{i}_{j}"), F.col(f"y{i}_{j}"))]
-    return (
-        chosen.agg(*aggregates)
-        .where("n_rows > 0")
-        .select(F.stack(F.lit(len(cells) // 3), *cells).alias("i", "j", "correlation"))
-    )
-
-
-def _pairs_by_blocks(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(i, j, correlation) for i <= j of wide tables: two scans, matrix products per Arrow batch.
-
-    Values are shifted by their column means first, which keeps plain sums accurate. A task hands
-    over one row per pair, whatever its number of input rows, and Spark adds those up.
+def _moments(x: np.ndarray) -> np.ndarray:
+    """MOMENTS by width by width: counts, means, squares and products of deviations, and extremes, each over the rows of the pair."""
+    width = x.shape[1]
+    there = ~np.isnan(x)
+    out = np.zeros((len(MOMENTS), width, width))
+    n, mx, my, sxx, syy, sxy, low, high, low_y, high_y = out
+    for j in range(width):
+        rows = there[:, j]
+        mask, part, y = there[rows], np.where(there[rows], x[rows], 0.0), x[rows, j][:, None]
+        count = mask.sum(axis=0)
+        some = np.maximum(count, 1)
+        mean, mean_y = part.sum(axis=0) / some, np.where(mask, y, 0.0).sum(axis=0) / some
+        off, off_y = np.where(mask, part - mean, 0.0), np.where(mask, y - mean_y, 0.0)
+        n[:, j], mx[:, j], my[:, j] = count, mean, mean_y
+        sxx[:, j], syy[:, j], sxy[:, j] = (off * off).sum(axis=0), (off_y * off_y).sum(axis=0), (off * off_y).sum(axis=0)
+        for values, lows, highs in ((part, low, high), (y, low_y, high_y)):
+            lows[:, j] = np.where(mask, values, np.inf).min(axis=0, initial=np.inf)
+            highs[:, j] = np.where(mask, values, -np.inf).max(axis=0, initial=-np.inf)
+    return out
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together."""
+    n = a[0] + b[0]
+    part = b[0] / np.maximum(n, 1)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    both = a[0] * part
+    return np.stack([
+        n, a[1] + dx * part, a[2] + dy * part, a[3] + b[3] + dx * dx * both, a[4] + b[4] + dy * dy * both, a[5] + b[5] + dx * dy * both,
+        np.minimum(a[6], b[6]), np.maximum(a[7], b[7]), np.minimum(a[8], b[8]), np.maximum(a[9], b[9]),
+    ])
+
+
+def _pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(i, j, correlation) for i <= j in one scan.
+
+    Deviations are taken from the means of the pair's own rows, batch by batch, and merged by the
+    parallel variance formula, first in the task and then over tasks: a task hands over one row per
+    pair, whatever its number of input rows.
     """
     values = [present(f).cast("double") for f in fields(df, names)]
     chosen = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
-    facts = [F.count(F.lit(1))]
-    for i in range(len(names)):
-        facts += [F.coalesce(F.avg(f"v{i}"), F.lit(0.0)), F.min(f"v{i}").eqNullSafe(F.max(f"v{i}"))]
-    # Two values per column come to the driver.
-    facts = chosen.agg(*facts).first()
-    means, constant = facts[1::2], facts[2::2]
-    if facts[0] == 0:
-        return df.sparkSession.createDataFrame([], "i int, j int, correlation double")
-    centered = chosen.select(*[(F.col(f"v{i}") - F.lit(float(m))).alias(f"v{i}") for i, m in enumerate(means)])
     width = len(names)
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, sx, sxx, sxy = (np.zeros((width, width)) for _ in range(4))
-        for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan)
-            mask = (~np.isnan(x)).astype("float64")
-            x = np.where(mask > 0, x, 0.0)
-            n += mask.T @ mask
-            sx += x.T @ mask
-            sxx += (x * x).T @ mask
-            sxy += x.T @ x
-        i, j = np.triu_indices(width)
-        if not n.any():
-            return
-        yield pd.DataFrame({
-            "i": i, "j": j, "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
-            "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j],
-        })
-
-    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    total = (
-        centered.mapInPandas(moments, MOMENTS_SCHEMA)
-        .groupBy("i", "j")
-        .agg(*[F.sum(s).alias(s) for s in sums])
+        total = None
+        with np.errstate(invalid="ignore", over="ignore"):
+            for batch in batches:
+                if len(batch):
+                    found = _moments(batch.to_numpy(dtype="float64", na_value=np.nan))
+                    total = found if total is None else _merged(total, found)
+        if total is not None:
+            i, j = np.triu_indices(width)
+            yield pd.DataFrame({"i": i, "j": j, **{m: total[k][i, j] for k, m in enumerate(MOMENTS)}})
+
+    parts = chosen.mapInPandas(moments, "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS))
+    # As many rows per pair as there are tasks.
+    w = Window.partitionBy("i", "j")
+    dx, dy = (F.col(m) - F.try_divide(F.sum(F.col("n") * F.col(m)).over(w), F.sum("n").over(w)) for m in ("mx", "my"))
+    off = parts.withColumn("dx", F.when(F.col("n") > 0, dx).otherwise(0.0)).withColumn("dy", F.when(F.col("n") > 0, dy).otherwise(0.0))
+    total = off.groupBy("i", "j").agg(
+        F.sum(F.col("sxx") + F.col("n") * F.col("dx") * F.col("dx")).alias("sxx"), F.sum(F.col("syy") + F.col("n") * F.col("dy") * F.col("dy")).alias("syy"),
+        F.sum(F.col("sxy") + F.col("n") * F.col("dx") * F.col("dy")).alias("sxy"), F.min("low_x").alias("low_x"), F.max("high_x").alias("high_x"),
+        F.min("low_y").alias("low_y"), F.max("high_y").alias("high_y"),
     )
-    n = F.col("n")
-    spread = lambda square, a, b: F.col(square) - F.try_divide(F.col(a) * F.col(b), n)
-    x_spread, y_spread = spread("sxx", "sx", "sx"), spread("syy", "sy", "sy")
-    varying = F.array(*[F.lit(not c) for c in constant])
-    varies = F.element_at(varying, F.col("i") + 1) & F.element_at(varying, F.col("j") + 1)
-    # A side that is constant within the pair's rows leaves rounding noise behind.
-    noise = F.lit(1e-13)
-    real_x = F.when(x_spread > noise * F.col("sxx"), x_spread)
-    real_y = F.when(y_spread > noise * F.col("syy"), y_spread)
-    pair = _ratio(spread("sxy", "sx", "sy"), real_x, real_y)
-    exact = F.when((F.col("i") == F.col("j")) & real_x.isNotNull(), F.lit(1.0)).otherwise(pair)
-    return total.select("i", "j", F.when(varies, exact).alias("correlation"))
+    finite = F.coalesce(F.abs("sxx") < float("inf"), F.lit(False)) & F.coalesce(F.abs("syy") < float("inf"), F.lit(False))
+    varies = finite & (F.col("low_x") < F.col("high_x")) & (F.col("low_y") < F.col("high_y"))
+    ratio = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(clamp(F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy")), -1.0, 1.0))
+    return total.select("i", "j", F.when(varies, ratio).alias("correlation"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -12,9 +12,7 @@ from tableprofile.operators.profile import column_summary, flatten_summary
 from tableprofile.operators.quality import quality_flags_from_summary
 from tableprofile.operators.relations import correlation_matrix
 
-MAX_HISTOGRAMS = 6
 TOP_K = 5
-MAX_TOP_COLUMNS = 5
 MIN_MISSING_SHARE = 0.3
 
 
@@ -30,17 +28,18 @@ def missing_from_summary(summary: DataFrame) -> DataFrame:
 def report_metrics(
     df: DataFrame,
     source: str = "",
-    max_hist_columns: int = MAX_HISTOGRAMS,
+    max_hist_columns: int | None = None,
+    max_top_columns: int | None = None,
     top_k_categories: int = TOP_K,
     min_missing_share: float = MIN_MISSING_SHARE,
     summary: DataFrame | None = None,
 ) -> DataFrame:
-    """(position, section, metric, value): shape, parameters, quality and which sections exist."""
+    """(position, section, metric, value): shape, parameters, quality and which sections exist. No limit means all columns."""
     if summary is None:
         summary = column_summary(df, example_values=0)
     filled = F.col("non_null") > 0
     numbers = numeric_columns(df, max_hist_columns)
-    texts = categorical_columns(df, MAX_TOP_COLUMNS)
+    texts = categorical_columns(df, max_top_columns)
     facts = quality_flags_from_summary(summary, [
         F.count_if(F.col("name").isin(texts) & filled).alias("tops"),
         F.count_if(F.col("name").isin(numbers) & filled).alias("histograms"),
@@ -77,7 +76,8 @@ def write_report(
     df: DataFrame,
     out_dir: str,
     source: str = "",
-    max_hist_columns: int = MAX_HISTOGRAMS,
+    max_hist_columns: int | None = None,
+    max_top_columns: int | None = None,
     top_k_categories: int = TOP_K,
     min_missing_share: float = MIN_MISSING_SHARE,
     file_format: str = "csv",
@@ -104,8 +104,8 @@ def write_report(
         write(missing_from_summary(summary), "missing")
         if numeric_columns(df):
             write(correlation_matrix(df), "correlation")
-    tops = settle(top_categories(df, MAX_TOP_COLUMNS, top_k_categories))
+    tops = settle(top_categories(df, max_top_columns, top_k_categories))
     if not tops.isEmpty():
         write(tops.orderBy("column", "rank"), "top_categories", partition_by="column")
-    facts = report_metrics(df, source, max_hist_columns, top_k_categories, min_missing_share, summary)
+    facts = report_metrics(df, source, max_hist_columns, max_top_columns, top_k_categories, min_missing_share, summary)
     write(facts.orderBy("position"), "report")

@@ -59,6 +59,8 @@ def _checked_lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
     Spark hands over as they are, are looked at twice.
     """
     names = spark.read.csv(path, inferSchema=False, **options).columns
+    if not names:
+        raise ValueError(f"no header and no rows: {path}")
     texts = [T.StructField(name, T.StringType()) for name in names]
     schema = T.StructType([*texts, T.StructField(MALFORMED, T.StringType())])
     # With pruning, Spark looks at the length of no line.

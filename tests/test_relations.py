@@ -17,9 +17,28 @@ def test_sample(sample):
     assert matrix.loc["age", "height"] == pytest.approx(1.0)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_against_pandas(spark, monkeypatch, limit):
-    monkeypatch.setattr(R, "COLUMNS_PER_AGGREGATE", limit)
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e5, 1e6, 1e7])
+def test_offset_where_the_partner_is_present(spark, offset):
+    """The same answer whatever the offset and the number of further columns."""
+    rng = np.random.default_rng(9)
+    x, there = rng.integers(0, 50, 5000).astype(float), rng.random(5000) < 0.02
+    y = np.where(there, 2 * x + rng.integers(0, 40, 5000), np.nan)
+    want = pd.Series(x).corr(pd.Series(y))
+    for width in (2, 5, 20):
+        more = {f"m{i}": rng.random(5000) for i in range(width - 2)}
+        data = pd.DataFrame({"x": x + there * offset, "y": y, **more})
+        frame = spark.createDataFrame(data).repartition(7)
+        found = {(r[0], r[1]): r[2] for r in R.correlation_long(frame).collect()}
+        assert found["x", "y"] == found["y", "x"] == pytest.approx(want, abs=1e-9)
+
+
+def test_infinity_has_no_correlation(spark):
+    rows = [(1.0, 2.0, 1.0), (2.0, float("inf"), 2.0), (3.0, 5.0, 4.0), (4.0, 1.0, 3.0)]
+    found = {(r[0], r[1]): r[2] for r in R.correlation_long(spark.createDataFrame(rows, "a double, b double, c double")).collect()}
+    assert found["a", "b"] is None and found["b", "b"] is None and found["b", "c"] is None and found["a", "c"] == pytest.approx(0.8)
+
+
+def test_against_pandas(spark):
     rng = np.random.default_rng(5)
     data = pd.DataFrame(rng.normal(size=(400, 6)), columns=list("abcdef"))
     data["b"] = data["a"] * 2 + data["b"] * 0.1 + 1e6
@@ -37,9 +56,7 @@ def test_against_pandas(spark, monkeypatch, limit):
     np.testing.assert_array_equal(ours.to_numpy(), ours.to_numpy().T)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_edges(spark, monkeypatch, empty, limit):
-    monkeypatch.setattr(R, "COLUMNS_PER_AGGREGATE", limit)
+def test_edges(spark, empty):
     assert R.correlation_long(empty).count() == 0
     assert R.correlation_matrix(empty).count() == 0
     words = spark.createDataFrame([("a",)], "x string")
