@@ -11,38 +11,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.llm import textbytes as T
-from tableprofile.llm.common import in_small_batches, lists, saved, values
+from tableprofile.llm.common import in_small_batches, lists, saved, small, values
 
 U = np.uint64
 LENGTH = 100  # bytes of a string that counts
 GRAM = 36  # bytes of the window hashes that find where repeats can be
 SPAN = LENGTH - GRAM + 1
+CUT = 4  # one of so many changes of the smallest hash ends a block, some 130 bytes apart
+
+
+def _extremes(x: np.ndarray, of: np.ufunc, fill: int) -> np.ndarray:
+    """The smallest or largest of every SPAN neighbours."""
+    padded = np.full(-(-len(x) // SPAN) * SPAN, fill, U)
+    padded[: len(x)] = x
+    rows = padded.reshape(-1, SPAN)
+    ahead = of.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    behind = of.accumulate(rows, axis=1).ravel()
+    return of(ahead[: len(x) - SPAN + 1], behind[SPAN - 1 : len(x)])
 
 
 def window_minima(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all GRAM-byte strings, and for every start of a LENGTH-byte string the smallest one inside it."""
     total = T.sums(data)
     hashes = T.mix((total[GRAM:] - total[:-GRAM]) * T.powers(len(data))[1][: len(data) - GRAM + 1])
-    n = len(hashes)
-    padded = np.full(-(-n // SPAN) * SPAN, np.iinfo(U).max, U)
-    padded[:n] = hashes
-    rows = padded.reshape(-1, SPAN)
-    ahead = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    behind = np.minimum.accumulate(rows, axis=1).ravel()
-    return hashes, np.minimum(ahead[: n - SPAN + 1], behind[SPAN - 1 : n])
+    return hashes, _extremes(hashes, np.minimum, np.iinfo(U).max)
+
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every text cut in blocks of starts where its bytes say so: equal bytes are cut at equal places.
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    digest: of the bytes of all strings that start in the block. marks, places: the smallest hashes
+    inside these strings and where they are; a place at a cut is given for both blocks.
+    """
+    names = ["id", "start", "end", "digest", "marks", "places"]
     for b in batches:
-        all_, twice = [], []
-        for data in values(b.column(1)):
+        ids, starts, ends, digests, marks, places = [], [], [], [], [], []
+        for id, data in zip(b.column(0).to_pylist(), values(b.column(1))):
             hashes, least = window_minima(data)
-            value = np.unique(least[np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])])
-            at = np.minimum(np.searchsorted(value, hashes), len(value) - 1)
-            again = np.bincount(at[value[at] == hashes], minlength=len(value)) > 1
-            all_.append(value.view(np.int64))
-            twice.append(value[again].view(np.int64))
-        yield pa.RecordBatch.from_arrays([b.column(0), lists(all_, pa.int64()), lists(twice, pa.int64())], names=["id", "marks", "twice"])
+            n = len(least)
+            cut = np.flatnonzero(least[1:] != least[:-1]) + 1
+            cut = np.concatenate([[0], cut[T.draw(least[cut], 5) % U(CUT) == 0], [n]])
+            framed = np.zeros(n + 2 * (SPAN - 1), U)
+            framed[SPAN - 1 : SPAN - 1 + n] = least
+            place = np.flatnonzero(_extremes(framed, np.maximum, 0) == hashes)
+            low, high = np.searchsorted(place, cut[:-1]), np.searchsorted(place, cut[1:] + SPAN - 1)
+            for first, end, i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), low, high):
+                ids.append(id)
+                starts.append(first)
+                ends.append(end)
+                digests.append(hashlib.blake2b(data[first : end + LENGTH - 1], digest_size=16).digest())
+                marks.append(hashes[place[i:j]].view(np.int64))
+                places.append(place[i:j])
+            if len(ids) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(digests, pa.binary()), lists(marks, pa.int64()), lists(places, pa.int32())], names=names)
+                ids, starts, ends, digests, marks, places = [], [], [], [], [], []
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(digests, pa.binary()), lists(marks, pa.int64()), lists(places, pa.int32())], names=names)
 
 
 def _spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +73,20 @@ def _spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+def _covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of n places lie in one of the ranges; what is beyond n does not count."""
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, np.minimum(starts, n), 1)
+    np.add.at(change, np.minimum(ends, n), -1)
+    return np.cumsum(change)[:n] > 0
+
+
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The items of each list; a null has none."""
+    for x in column:
+        yield x.values.to_numpy() if x.is_valid else np.zeros(0, np.int64)
+
+
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sampled positions of every stretch in which strings may repeat, with triples of two-byte characters.
 
@@ -59,10 +96,10 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     prefixes of length 100 of this position and of the two before it.
     """
     for b in batches:
-        at, flat = b.column(2).offsets.to_numpy(), b.column(2).values.to_numpy()
-        for row, data in enumerate(values(b.column(1))):
+        known = zip(_lists(b.column(2)), _lists(b.column(3)), _lists(b.column(4)))
+        for row, (data, (marks, starts, ends)) in enumerate(zip(values(b.column(1)), known)):
             least = window_minima(data)[1].view(np.int64)
-            for first, end in zip(*_spans(np.isin(least, flat[at[row] : at[row + 1]]))):
+            for first, end in zip(*_spans(np.isin(least, marks) & ~_covered(len(least), starts, ends))):
                 part = data[first : end + LENGTH - 1].astype(np.int64)
                 n = len(part)
                 six = np.zeros(n - 5, np.int64)
@@ -92,11 +129,14 @@ def _named(rows: DataFrame, kept: list[str]) -> DataFrame:
 
 
 def repeated_starts(texts: DataFrame) -> DataFrame:
-    """(id, start) of every 100-byte string that also starts earlier: at a smaller id, or in the same text before.
+    """(id, start, end): ranges of the starts of every 100-byte string that also starts earlier, at a smaller id or in the same text before.
 
     texts: (id long, text binary of at least 100 bytes), ids and texts distinct.
 
-    Where can strings repeat? Equal strings contain the same smallest 36-byte hash. Only starts whose
+    Equal strings need one representative only. Texts are cut in blocks by their own bytes; of equal
+    blocks the first one stays, and all starts of the others repeat. The first place of any string
+    lies in a block that stays, so the strings of these blocks decide about all of their own.
+    Where can those repeat? Equal strings contain the same smallest 36-byte hash. Only starts whose
     smallest hash occurs at a second place go on; no repeat is lost, and most text is left out.
     Of those positions the ones that are not a multiple of 3 are sampled. Their triples are sorted
     and named; the names form triples again (18, then 54 bytes), until two names and a byte tell
@@ -104,12 +144,19 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     the sample: the remaining positions merge by the bytes before the sampled position they are
     shifted to. Equal prefixes are then neighbours, and each is compared with the first of them.
     """
-    marks = saved(texts.mapInArrow(_fingerprints, "id long, marks array<long>, twice array<long>"))
-    each = marks.select("id", F.explode("marks").alias("mark"), F.col("twice"))
-    counted = each.select("mark", F.array_contains("twice", F.col("mark")).cast("int").alias("again"))
-    again = saved(counted.groupBy("mark").agg((F.count("*") + F.sum("again")).alias("n")).where("n > 1").select("mark"))
-    own = each.select("id", "mark").join(again, "mark").groupBy("id").agg(F.collect_list("mark").alias("marks"))
-    sample = texts.join(saved(own), "id").select("id", "text", "marks")
+    blocks = saved(texts.mapInArrow(_blocks, "id long, start int, end int, digest binary, marks array<long>, places array<int>"))
+    first = blocks.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n"))
+    first = saved(first.where("n > 1").select("digest", "first"))
+    first = small(first, 2 * first.count())  # 32 bytes a row
+    placed = blocks.join(first, "digest", "left").withColumn("later", F.coalesce(F.struct("id", "start") > F.col("first"), F.lit(False)))
+    later = saved(placed.where("later").select("id", "start", "end"))
+    each = placed.where("not later").select("id", F.explode(F.arrays_zip("marks", "places")).alias("m")).select("id", F.col("m.marks").alias("mark"), F.col("m.places").alias("place"))
+    place = F.struct("id", "place")
+    again = saved(each.groupBy("mark").agg((F.min(place) < F.max(place)).alias("again")).where("again").select("mark"))
+    own = each.join(small(again), "mark").groupBy("id").agg(F.collect_set("mark").alias("marks"))
+    gone = later.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
+    known = saved(own.join(gone, "id", "left").select("id", "marks", F.col("gone.start").alias("from"), F.col("gone.end").alias("to")))
+    sample = texts.join(known, "id").select("id", "text", "marks", "from", "to")
     place = ["id", "stretch", "at", "starts", "around"]
     rows = saved(sample.mapInArrow(_sample, "id long, stretch int, at int, starts int, around long, k1 long, k2 long, k3 long"))
     # Positions of a residue follow each other in steps of 3 bytes.
@@ -132,8 +179,8 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     prefixes = rows.select("id", "stretch", "starts", kinds.alias("p")).where("p.i >= 0 and p.i < starts and p.b is not null")
     prefixes = saved(prefixes.select("id", (F.col("stretch") + F.col("p.i")).alias("start"), "p.code", "p.a", "p.b"))
     firsts = saved(prefixes.groupBy("code", "a", "b").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    later = prefixes.join(firsts, ["code", "a", "b"]).where(F.struct("id", "start") > F.col("first"))
-    return later.select("id", "start").distinct()
+    found = prefixes.join(firsts, ["code", "a", "b"]).where(F.struct("id", "start") > F.col("first"))
+    return later.union(found.select("id", "start", (F.col("start") + 1).alias("end")).distinct())
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -153,21 +200,17 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     copies = saved(keyed.join(first, F.col("key") == F.col("k")).where("id <> first").select("id", "key"))
     digest = F.unhex(F.sha2("text", 256))
     single = long.withColumn("key", digest).join(copies, ["id", "key"], "left_anti").dropDuplicates(["id", "key"]).select("id", "text")
-    starts = saved(repeated_starts(single).groupBy("id").agg(F.collect_list("start").alias("starts")))
+    starts = saved(repeated_starts(single).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found")))
     copied = copies.select("id", "key", F.lit(True).alias("copy"))
     joined = rows.withColumn("key", digest).join(copied, ["id", "key"], "left").join(starts, "id", "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for data, copy, found in zip(values(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                gone = np.zeros(len(data) + 1, np.int32)
-                if found and not copy:
-                    at = np.array(found)
-                    at = at[at + LENGTH <= len(data)]
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + LENGTH, -1)
-                mask = np.ones(len(data), bool) if copy else np.cumsum(gone)[:-1] > 0
+            known = zip(b.column(2).to_pylist(), _lists(b.column(3)), _lists(b.column(4)))
+            for data, (copy, starts, ends) in zip(values(b.column(1)), known):
+                fit = starts + LENGTH <= len(data)
+                mask = np.ones(len(data), bool) if copy else _covered(len(data), starts[fit], ends[fit] + LENGTH - 1)
                 out.append((len(data), int(mask.sum()), len(_spans(mask)[0]), hashlib.sha256(data[~mask].tobytes()).hexdigest()))
             n, removed, spans, digests = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -175,4 +218,4 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return joined.select("id", "text", "copy", "starts").mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.select("id", "text", "copy", F.col("found.start").alias("from"), F.col("found.end").alias("to")).mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
