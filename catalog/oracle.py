@@ -384,7 +384,7 @@ ORACLES: dict[str, str] = {
     "value_shares": "SELECT c_mktsegment AS value, count(*) AS count, round(count(*) / sum(count(*)) OVER () * 100, 9) AS share FROM customer GROUP BY 1",
     "top_categories": top_sql(["p_name", "p_brand", "p_type"], "part"),
     "distinct_values": "SELECT DISTINCT p_brand FROM part",
-    "distinct_values_first_seen": "SELECT DISTINCT user_id FROM events",
+    "distinct_values_first_seen": "SELECT user_id, min(event_id) AS first_event FROM events GROUP BY user_id",
     "quality_flags": flags_sql(CUSTOMERS, CUSTOMER_COLUMNS, "SELECT * FROM flags"),
     "quality_flags_from_summary": flags_sql(CUSTOMERS, CUSTOMER_COLUMNS, "SELECT * FROM flags"),
     "quality_verdict": flags_sql(LINES, LINES_COLUMNS, f"SELECT *, {VERDICT} FROM flags"),
@@ -452,8 +452,8 @@ FROM ({summary_sql(CUSTOMERS, CUSTOMER_COLUMNS, None)})""",
     "array_features": """SELECT vec_id, '0.0,0.0,0.0,0.0,0.0,0.0' AS zeros, '1.0,1.0,1.0,1.0,1.0,1.0' AS ones, '0,1,2,3,4,5' AS numbers,
   CAST(embedding[3] AS DOUBLE) AS third, CAST(embedding[12] AS DOUBLE) AS second_row_fourth,
   round(CAST(embedding[4] AS DOUBLE) + CAST(embedding[5] AS DOUBLE) + CAST(embedding[6] AS DOUBLE), 9) AS slice_sum FROM embeddings""",
-    "array_reshape": """SELECT vec_id, CAST(r AS INTEGER) AS row, 16 AS columns, CAST(embedding[r * 16 + 1] AS DOUBLE) AS first,
-  CAST(embedding[r * 16 + 16] AS DOUBLE) AS last FROM embeddings, range(4) t(r)""",
+    "array_reshape": """SELECT vec_id, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS "column",
+  CAST(embedding[r * 16 + c + 1] AS DOUBLE) AS item FROM embeddings, range(4) t(r), range(16) u(c)""",
     "array_shape": "SELECT vec_id, 4 AS rows, len(embedding) // 4 AS columns, lower(typeof(embedding[1])) AS item_type FROM embeddings",
     "array_elementwise": """SELECT vec_id, CAST(i AS INTEGER) AS position,
   round(CAST(embedding[i + 1] AS DOUBLE) + CAST(embedding[64 - i] AS DOUBLE), 9) AS total,

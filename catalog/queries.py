@@ -143,7 +143,7 @@ def distinct_values(spark, folder):
 
 @query
 def distinct_values_first_seen(spark, folder):
-    return frequency.distinct_values(table(spark, folder, "events"), "user_id", order_by="event_id")
+    return frequency.distinct_values(table(spark, folder, "events"), "user_id", order_by="event_id", place="first_event")
 
 
 # --- quality -----------------------------------------------------------------------------
@@ -482,7 +482,7 @@ def array_features(spark, folder):
 @query
 def array_reshape(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", F.posexplode(A.array_reshape(F.col("embedding"), 4, 16)).alias("row", "items"))
-    return rows.select("vec_id", "row", F.size("items").alias("columns"), F.col("items")[0].cast("double").alias("first"), F.col("items")[15].cast("double").alias("last"))
+    return rows.select("vec_id", "row", F.posexplode("items").alias("column", "item")).withColumn("item", F.col("item").cast("double"))
 
 
 @query

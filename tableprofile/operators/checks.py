@@ -11,23 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableprofile.functions.columns import col, fields, normalize_missing, present, text_key
-from tableprofile.functions.small import null_safe_on
+from tableprofile.functions.small import settle
 
 
-def _row_keys(df: DataFrame) -> list[Column]:
-    """One key column per column, k0, k1, ...; whole long texts stand behind digests."""
+def _row_key(df: DataFrame) -> Column:
+    """One struct that is equal exactly for equal rows; whole long texts stand behind digests."""
     keys = []
-    for i, field in enumerate(df.schema.fields):
+    for field in df.schema.fields:
         value = present(field)
-        if isinstance(field.dataType, T.StringType):
-            value = text_key(value)
-        keys.append(value.alias(f"k{i}"))
-    return keys
+        keys.append(text_key(value) if isinstance(field.dataType, T.StringType) else value)
+    return F.struct(*[value.alias(f"k{i}") for i, value in enumerate(keys)])
 
 
 def _repeated_keys(df: DataFrame) -> DataFrame:
-    keys = [f"k{i}" for i in range(len(df.columns))]
-    copies = df.select(*_row_keys(df)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_copies"))
+    """(key, n_copies) of the rows that occur more than once."""
+    copies = df.select(_row_key(df).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_copies"))
     return copies.where("n_copies > 1")
 
 
@@ -39,19 +37,18 @@ def has_duplicates(df: DataFrame) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Each row that occurs more than once, with its number of copies.
 
-    Tables with text first find the repeated rows by digest, so that of the texts themselves only
-    those of repeated rows are moved.
+    Tables with text first count the rows by digest. While the repeated digests are few they join
+    by broadcast, so that of the texts themselves only those of repeated rows are moved, once per
+    task; more of them join by shuffle.
     """
     clean = normalize_missing(df)
-    texts = any(isinstance(f.dataType, T.StringType) for f in df.schema.fields)
-    if texts:
-        keyed = clean.select("*", *_row_keys(clean))
-        repeated = _repeated_keys(clean)
-        repeated = repeated.select(*[F.col(f"k{i}").alias(f"r{i}") for i in range(len(df.columns))])
-        pairs = [(f"k{i}", f"r{i}") for i in range(len(df.columns))]
-        clean = keyed.join(repeated, null_safe_on(keyed, repeated, pairs), "left_semi")
-    copies = clean.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n_copies"))
-    return copies.where("n_copies > 1")
+    if not any(isinstance(f.dataType, T.StringType) for f in df.schema.fields):
+        copies = clean.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n_copies"))
+        return copies.where("n_copies > 1")
+    repeated = settle(_repeated_keys(df).withColumnRenamed("key", "repeated"))
+    rows = clean.select(_row_key(clean).alias("key"), F.struct(*[col(c) for c in df.columns]).alias("row"))
+    found = rows.join(repeated, F.col("key").eqNullSafe(F.col("repeated")))
+    return found.groupBy("key").agg(F.first("row").alias("row"), F.first("n_copies").alias("n_copies")).select("row.*", "n_copies")
 
 
 def rule_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

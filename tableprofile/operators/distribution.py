@@ -146,9 +146,10 @@ def bin_means(
     labels: Sequence[str],
 ) -> DataFrame:
     """(bin, mean_<measure>...) for each labelled bin in order, bins without rows included."""
-    means = [F.avg(present(f).cast("double")).alias(f"mean_{f.name}") for f in fields(df, measures)]
+    wanted = fields(df, measures)
+    means = [F.avg(f"m{i}").alias(f"mean_{f.name}") for i, f in enumerate(wanted)]
     found = (
-        df.withColumn("bin", bin_column(col(column), edges, labels))
+        df.select(bin_column(col(column), edges, labels).alias("bin"), *[present(f).cast("double").alias(f"m{i}") for i, f in enumerate(wanted)])
         .where("bin is not null")
         .groupBy("bin")
         .agg(*means)

@@ -59,15 +59,18 @@ def top_categories(df: DataFrame, max_columns: int | None = None, top_k: int = 5
     )
 
 
-def distinct_values(df: DataFrame, column: str, order_by: str | None = None) -> DataFrame:
-    """Distinct values, missing included: sorted, or in the order in which order_by first meets them."""
+def distinct_values(df: DataFrame, column: str, order_by: str | None = None, place: str | None = None) -> DataFrame:
+    """Distinct values, missing included: sorted, or in the order in which order_by first meets them.
+
+    place: name of a further column with the value of order_by at which a value is first met.
+    """
     value = present(fields(df, [column])[0]).alias(column)
     if order_by is None:
-        return df.select(value).distinct().orderBy(F.col(column).asc_nulls_last())
+        return df.select(value).distinct().orderBy(col(column).asc_nulls_last())
     return (
         df.select(value, col(order_by).alias("_place"))
-        .groupBy(column)
+        .groupBy(col(column))
         .agg(F.min("_place").alias("_place"))
         .orderBy("_place")
-        .select(column)
+        .select(col(column), *([F.col("_place").alias(place)] if place else []))
     )

@@ -101,15 +101,15 @@ def classification_report(
 
 
 def _scored(df: DataFrame, label: str, score: str, keys: Sequence[str]) -> DataFrame:
-    """(keys, bucket, score, p, n): positives and negatives per distinct score."""
+    """(key0, key1, ..., bucket, score, p, n): positives and negatives per distinct score."""
     number = F.nullif(col(score).cast("double"), F.lit(float("nan"))) + F.lit(0.0)
     rows = df.where(number.isNotNull() & col(label).isNotNull()).select(
-        *keys,
+        *[col(k).alias(f"key{i}") for i, k in enumerate(keys)],
         number.alias("score"),
         F.when(col(label) == 1, 1).otherwise(0).alias("p"),
         F.when(col(label) == 1, 0).otherwise(1).alias("n"),
     )
-    grouped = add_bucket(rows, "score").groupBy(*keys, "bucket", "score")
+    grouped = add_bucket(rows, "score").groupBy(*[f"key{i}" for i in range(len(keys))], "bucket", "score")
     return grouped.agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
 
 
@@ -118,11 +118,13 @@ def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) ->
 
     NULL where a class is absent.
     """
-    ranked = totals_above(_scored(df, label, score, keys), keys, "score", "bucket", ["p", "n"])
+    inner = [f"key{i}" for i in range(len(keys))]
+    ranked = totals_above(_scored(df, label, score, keys), inner, "score", "bucket", ["p", "n"])
     below = F.col("n_total") - F.col("n_above") - F.col("n")
     won = F.col("p").cast("double") * (below.cast("double") + 0.5 * F.col("n"))
     pairs = F.max("p_total").cast("double") * F.max("n_total")
-    return ranked.groupBy(*keys).agg(F.try_divide(F.sum(won), pairs).alias("roc_auc"))
+    areas = ranked.groupBy(*inner).agg(F.try_divide(F.sum(won), pairs).alias("roc_auc"))
+    return areas.select(*[F.col(i).alias(k) for i, k in zip(inner, keys)], "roc_auc")
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -43,7 +43,7 @@ def stratified_split(
     Of each class the round(test_share * n) rows with the smallest digests are the test rows and
     the next round(validation_share * rest) the validation rows. Counts per digest prefix locate
     both cuts; only rows with the prefix of a cut are ordered, so a class of any size is never
-    gathered in one task.
+    gathered in one task. Equal keys at a cut are an error, as no exact split of them exists.
     """
     digest = row_digest(key, seed)
     rows = df.select(col(label).alias("y"), digest.alias("digest"))
@@ -73,7 +73,9 @@ def stratified_split(
     order = Window.partitionBy("y", "prefix", "cut").orderBy("digest")
     borders = settle(
         near.withColumn("place", F.row_number().over(order))
+        .withColumn("tied", F.coalesce(F.lead("digest").over(order) == F.col("digest"), F.lit(False)))
         .where(F.col("place") == F.col("nth"))
+        .withColumn("digest", F.when(F.col("tied"), F.raise_error(f"the values of {key} are not unique").cast("string")).otherwise(F.col("digest")))
         .groupBy("y")
         .agg(
             F.max(F.when(F.col("cut") == 0, F.col("digest"))).alias("test_border"),
@@ -81,13 +83,14 @@ def stratified_split(
         )
         .withColumnRenamed("y", "border_y")
     )
-    joined = df.join(borders, df[label].eqNullSafe(borders["border_y"]), "left")
+    whole = df.select(F.struct("*").alias("row"), col(label).alias("y"), digest.alias("digest"))
+    joined = whole.join(borders, F.col("y").eqNullSafe(F.col("border_y")), "left")
     split = (
-        F.when(digest <= F.col("test_border"), "test")
-        .when(digest <= F.col("validation_border"), "validation")
+        F.when(F.col("digest") <= F.col("test_border"), "test")
+        .when(F.col("digest") <= F.col("validation_border"), "validation")
         .otherwise("train")
     )
-    return joined.select(*[df[c] for c in df.columns], split.alias("split"))
+    return joined.select("row.*", split.alias("split"))
 
 
 def split_balance(split: DataFrame, label: str) -> DataFrame:

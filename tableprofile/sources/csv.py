@@ -58,14 +58,18 @@ def _checked_lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
     Missing fields at the end of a line are missing values. Only lines of the wrong length, which
     Spark hands over as they are, are looked at twice.
     """
-    names = spark.read.csv(path, inferSchema=False, **options).columns
-    if not names:
+    plain = spark.read.csv(path, inferSchema=False, **options).columns
+    if not plain:
         raise ValueError(f"no header and no rows: {path}")
+    # Spark renames headers that repeat or differ only in case, and then no header equals its name.
+    header = spark.read.csv(path, **{**options, "header": False}).first()
+    changed = header is not None and any(h is not None and h != n for h, n in zip(header, plain))
+    names = _unlike(header, plain) if changed else plain
     texts = [T.StructField(name, T.StringType()) for name in names]
     schema = T.StructType([*texts, T.StructField(MALFORMED, T.StringType())])
     # With pruning, Spark looks at the length of no line.
     reader = spark.read.schema(schema).option("columnPruning", False)
-    lines = reader.csv(path, columnNameOfCorruptRecord=MALFORMED, enforceSchema=False, **options)
+    lines = reader.csv(path, columnNameOfCorruptRecord=MALFORMED, enforceSchema=changed, **options)
     widened = T.StructType([*texts, T.StructField("_further", T.StringType())])
     parts = F.from_csv(MALFORMED, widened.toDDL(), {k: options[k] for k in ("sep", "quote", "escape")})
     too_long = parts["_further"].isNotNull()
@@ -75,6 +79,19 @@ def _checked_lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
     return lines.where(fine.otherwise(F.lit(True))).select(*[col(name) for name in names])
 
 
+def _unlike(header: Sequence[str | None], plain: Sequence[str]) -> list[str]:
+    """The names of the header, those that came before (in any case) with a running number: id, ID.1."""
+    names: list[str] = []
+    for title, given in zip(header, plain):
+        base = given if title is None else title
+        name, n = base, 0
+        while name.casefold() in {x.casefold() for x in names}:
+            n += 1
+            name = f"{base}.{n}"
+        names.append(name)
+    return names
+
+
 def _without_tokens(name: str, tokens: Sequence[str]) -> Column:
     return F.when(~col(name).isin(list(tokens)), col(name)).alias(name)
 
