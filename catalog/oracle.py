@@ -339,9 +339,14 @@ def gain_sql() -> str:
         f"SELECT '{m}' AS metric, round(a.{m}, 9) AS value, round(b.{m}, 9) AS baseline, "
         f"round((a.{m} - b.{m}) * 100, 9) AS gain_points FROM a, b" for m in names
     ]
+    areas = [auc_sql(f"SELECT quality, {p} AS score FROM t", "quality", None).replace("round(", "(").replace(", 9)", ")") for p in ("score", "baseline_prediction")]
+    area = (
+        "SELECT 'roc_auc' AS metric, round(x.roc_auc, 9) AS value, round(y.roc_auc, 9) AS baseline, "
+        f"round((x.roc_auc - y.roc_auc) * 100, 9) AS gain_points FROM ({areas[0]}) x, ({areas[1]}) y"
+    )
     return f"""WITH t AS (SELECT * FROM ({baseline_sql(split_sql(DOCUMENT_SCORES, "quality", "doc_id"))}) WHERE split = 'test'),
 a AS (SELECT {raw["guess"]} FROM t), b AS (SELECT {raw["baseline_prediction"]} FROM t)
-{union(parts)}"""
+{union([*parts, area])}"""
 
 
 def auc_sql(source: str, label: str, group: str | None) -> str:
@@ -487,3 +492,11 @@ FROM (SELECT fpr, tpr, lag(fpr) OVER w AS x, lag(tpr) OVER w AS y FROM c WINDOW
         f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in SCALED
     ) + " FROM lineitem",
 }
+
+ORACLES |= {
+    "top_categories_texts": top_sql(["text", "lang", "source"], "documents"),
+    "rejected_profiles": f"SELECT * FROM ({ORACLES['validate_profiles']}) WHERE NOT is_valid",
+    "report_histogram_file": ORACLES["histogram_bins"],
+    "report_patterns_file": ORACLES["missing_patterns"],
+    "csv_quality_report": ORACLES["quality_report"],
+}

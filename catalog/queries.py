@@ -136,6 +136,13 @@ def top_categories(spark, folder):
     return rounded(frequency.top_categories(table(spark, folder, "part"), max_columns=5), 9, "share")
 
 
+@query
+def top_categories_texts(spark, folder):
+    """Whole texts of documents among the columns, many with equal counts."""
+    tops = frequency.top_categories(table(spark, folder, "documents").select("text", "lang", "source"))
+    return rounded(tops, 9, "share")
+
+
 @query
 def distinct_values(spark, folder):
     return frequency.distinct_values(table(spark, folder, "part"), "p_brand")
@@ -208,6 +215,12 @@ def validate_profiles(spark, folder):
     return rounded(quality.validate_profiles(supplier_profiles(spark, folder)), 9, "max_missing_share")
 
 
+@query
+def rejected_profiles(spark, folder):
+    checked = quality.validate_profiles(supplier_profiles(spark, folder)).where("not is_valid")
+    return rounded(checked, 9, "max_missing_share")
+
+
 @query
 def score_profiles(spark, folder):
     valid = quality.validate_profiles(supplier_profiles(spark, folder)).where("is_valid").drop("is_valid")
@@ -462,6 +475,29 @@ def report_correlation_file(spark, folder):
     return rounded(matrix, 9, *MATRIX_COLUMNS)
 
 
+@query
+def report_histogram_file(spark, folder):
+    path = scratch(spark)
+    write_report(orders_with_gaps(spark, folder), path, max_hist_columns=6, file_format="parquet")
+    return rounded(spark.read.parquet(f"{path}/histograms"), 6, "bin_low", "bin_high")
+
+
+@query
+def report_patterns_file(spark, folder):
+    path = scratch(spark)
+    write_report(lineitem_with_gaps(spark, folder), path, file_format="parquet")
+    return spark.read.parquet(f"{path}/missing_patterns")
+
+
+@query
+def csv_quality_report(spark, folder):
+    """From a CSV file to the verdict."""
+    path = scratch(spark)
+    lineitem_with_gaps(spark, folder).write.csv(path, header=True)
+    report = quality.quality_report(require_rows(read_csv(spark, path)))
+    return report.select("ok_for_model", "quality_score", "message", "n_rows", "n_cols", *[F.col("flags")[f].alias(f) for f in REPORT_FLAGS])
+
+
 # --- arrays ------------------------------------------------------------------------------
 
 
@@ -581,7 +617,9 @@ def metric_gain(spark, folder):
     guessed = modeling.prior_baseline(split, split.where("split = 'train'"), "quality", "doc_id").where("split = 'test'")
     ours = metrics.binary_metrics(guessed, "quality", "guess")
     theirs = metrics.binary_metrics(guessed, "quality", "baseline_prediction")
-    return rounded(metrics.metric_gain(ours, theirs, ["accuracy", "precision", "recall", "f1"]), 9, "value", "baseline", "gain_points")
+    gain = metrics.metric_gain(ours, theirs, ["accuracy", "precision", "recall", "f1"])
+    areas = [metrics.roc_auc(guessed, "quality", score) for score in ("score", "baseline_prediction")]
+    return rounded(gain.union(metrics.metric_gain(*areas, ["roc_auc"])), 9, "value", "baseline", "gain_points")
 
 
 @query

@@ -51,21 +51,22 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, s
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
-    """First n rows of each group in the given order, numbered from 1.
+def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank", ties: bool = False) -> DataFrame:
+    """First n rows of each group in the given order, numbered from 1; with `ties` also all rows equal to the n-th.
 
     Spark limits each group before the shuffle as long as n is within its group-limit threshold;
     for a larger n the group is first cut in 64 parts of which none can lose a row of the answer.
     """
+    number = F.rank if ties else F.row_number
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
         part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(64))
         inner = Window.partitionBy(*group, "_part").orderBy(*order)
         df = (
             df.withColumn("_part", part)
-            .withColumn("_place", F.row_number().over(inner))
+            .withColumn("_place", number().over(inner))
             .where(F.col("_place") <= n)
             .drop("_part", "_place")
         )
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
+    return df.withColumn(rank, number().over(window)).where(F.col(rank) <= n)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableprofile.functions.columns import categorical_columns, col, fields, present
-from tableprofile.functions.small import top_n
+from tableprofile.functions.columns import LONG_TEXT_BYTES, categorical_columns, col, fields, is_long_text, present, text_key
+from tableprofile.functions.small import settle, top_n
 
 
 def _counted(df: DataFrame, column: str) -> DataFrame:
@@ -34,20 +34,28 @@ def top_categories(df: DataFrame, max_columns: int | None = None, top_k: int = 5
     """(column, rank, value, count, share): top_k values of every text column, or of the first max_columns.
 
     Shares are of the kept values of the column, not of all its rows. A column without any
-    present value has no rows, yet still takes a place among the first.
+    present value has no rows, yet still takes a place among the first. Long texts are counted by
+    digest when this is called; a second scan fetches the few that can be among the first.
     """
     names = categorical_columns(df, max_columns)
     if not names:
         schema = "column string, rank int, value string, count bigint, share double"
         return df.sparkSession.createDataFrame([], schema)
     cells = [cell for i, name in enumerate(names) for cell in (F.lit(i), col(name).cast("string"))]
-    counts = (
-        df.select(F.stack(F.lit(len(names)), *cells).alias("ordinal", "value"))
-        .where(F.col("value").isNotNull())
-        .groupBy("ordinal", "value")
-        .count()
-    )
-    kept = top_n(counts, ["ordinal"], [F.col("count").desc(), F.col("value").asc()], top_k)
+    values = df.select(F.stack(F.lit(len(names)), *cells).alias("ordinal", "value")).where(F.col("value").isNotNull())
+    key, start = text_key(F.col("value")).alias("key"), F.substring("value", 1, LONG_TEXT_BYTES).alias("start")
+    counts = values.select("ordinal", key, start).groupBy("ordinal", "key", "start").count()
+    # Equal counts go by value, of which the start decides all but equal starts; those all stay for now.
+    near = settle(top_n(counts, ["ordinal"], [F.col("count").desc(), F.col("start").asc()], top_k, ties=True).drop("rank"), maybe_large=True)
+    digests = near.where(is_long_text(F.col("key"))).select("ordinal", "key")
+    if digests.isEmpty():
+        found = near.withColumn("value", F.col("key"))
+    else:
+        texts = values.where(is_long_text(F.col("value"))).select("ordinal", key, F.col("value").alias("text"))
+        texts = texts.join(digests, ["ordinal", "key"], "left_semi").groupBy("ordinal", "key").agg(F.any_value("text").alias("text"))
+        found = near.join(texts, ["ordinal", "key"], "left").withColumn("value", F.coalesce("text", "key"))
+    found = found.select("ordinal", "value", "count")
+    kept = top_n(found, ["ordinal"], [F.col("count").desc(), F.col("value").asc()], top_k)
     # At most top_k rows per column are left here.
     return (
         kept.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy("ordinal")))

@@ -195,8 +195,8 @@ def _first_slot(field: T.StructField) -> Column:
     return real if is_fractional(field.dataType) else text
 
 
-def _examples_of(df: DataFrame, values: DataFrame, n: int, ordered: bool) -> DataFrame:
-    """(ordinal, rank, value) for the first n distinct values of each column.
+def _examples_of(df: DataFrame, values: DataFrame, n: int, ordered: bool, repeated: bool = False) -> DataFrame:
+    """(ordinal, rank, value) for the first n distinct values of each column; `repeated` tells that values may hold a value more than once.
 
     First means smallest `place` when there is one, else smallest number, or for texts smallest
     MD5 draw. The smallest value of each of 64 hash parts of a column bounds what can be among its
@@ -216,7 +216,10 @@ def _examples_of(df: DataFrame, values: DataFrame, n: int, ordered: bool) -> Dat
     bounds = bounds.select("ordinal", *[F.col(p).alias(f"{p}_bound") for p in places])
     close = reduce(lambda a, b: a & b, [F.coalesce(F.col(p) <= F.col(f"{p}_bound"), F.lit(True)) for p in places])
     near = values.join(F.broadcast(bounds), "ordinal", "left").where(close)
-    chosen = top_n(near, ["ordinal"], [*order, F.col("whole").asc(), F.col("real").asc(), F.col("text").asc()], n)
+    if repeated:
+        keys = ["ordinal", "whole", "real", "text"]
+        near = near.groupBy(*keys).agg(F.min("place").alias("place")) if ordered else near.select(*keys, "draw").distinct()
+    chosen =top_n(near, ["ordinal"], [*order, F.col("whole").asc(), F.col("real").asc(), F.col("text").asc()], n)
     digest = F.octet_length("text") > LONG_TEXT_BYTES
     numbered = list(enumerate(df.schema.fields))
     texts = [
@@ -261,16 +264,17 @@ def column_summary(
 ) -> DataFrame:
     """One row per column, in schema order: type, counts, share missing, distinct, examples, statistics.
 
-    `approximate_unique` is a relative error; given, the distinct count is a sketch and a summary
-    without examples needs no shuffle of values at all.
+    `approximate_unique` is a relative error; given, the distinct count is a sketch, and only values
+    small enough to be an example are shuffled.
     """
     facts = column_facts(df)
-    values = distinct_values_long(df, order_by=order_by)
-    counts = _counts_of(values) if approximate_unique is None else _approximate_counts(df, approximate_unique)
+    exact = approximate_unique is None
+    values = distinct_values_long(df, order_by=order_by) if exact else _long_values(df, list(enumerate(df.schema.fields)), order_by=order_by)
+    counts = _counts_of(values) if exact else _approximate_counts(df, approximate_unique)
     result = facts.join(F.broadcast(counts), "ordinal", "left")
     if example_values > 0:
         examples = (
-            _examples_of(df, values, example_values, order_by is not None)
+            _examples_of(df, values, example_values, order_by is not None, repeated=not exact)
             .groupBy("ordinal")
             .agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("ranked"))
         )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tableprofile.functions.columns import categorical_columns, numeric_columns
 from tableprofile.functions.small import settle
+from tableprofile.operators.distribution import histogram_bins, missing_patterns
 from tableprofile.operators.frequency import top_categories
 from tableprofile.operators.profile import column_summary, flatten_summary
 from tableprofile.operators.quality import quality_flags_from_summary
-from tableprofile.operators.relations import correlation_matrix
+from tableprofile.operators.relations import correlation_long, correlation_matrix
 
 TOP_K = 5
 MIN_MISSING_SHARE = 0.3
@@ -83,9 +84,10 @@ def write_report(
     file_format: str = "csv",
     mode: str = "errorifexists",
 ) -> None:
-    """Write summary, missing, correlation, top_categories and report under out_dir.
+    """Write summary, missing, correlation, top_categories, report, missing_patterns, heatmap and histograms under out_dir.
 
-    Sections without content are skipped. Top values lie in one folder per column. The summary is
+    The last three are the numbers behind drawings; histograms come at the end, as an infinity in a
+    column is an error there. Sections without content are skipped. Top values lie in one folder per column. The summary is
     computed once and reused; it has a row per column.
     """
 
@@ -109,3 +111,8 @@ def write_report(
         write(tops.orderBy("column", "rank"), "top_categories", partition_by="column")
     facts = report_metrics(df, source, max_hist_columns, max_top_columns, top_k_categories, min_missing_share, summary)
     write(facts.orderBy("position"), "report")
+    if has_rows:
+        write(missing_patterns(df), "missing_patterns")
+        if numeric_columns(df):
+            write(correlation_long(df), "heatmap")
+            write(histogram_bins(df, max_columns=max_hist_columns), "histograms")

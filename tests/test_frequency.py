@@ -48,3 +48,13 @@ def test_no_window_over_everything(spark):
     df = spark.range(10).select((F.col("id") % 3).alias("x"))
     plan = Fr.value_shares(df, "x")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("top_k", [2, 5])
+def test_long_texts_with_equal_counts(spark, top_k):
+    start = "same start " * 20
+    texts = [start + "b", start + "a", start + "c", "short", start + "b", "short", "z" * 80, start, None]
+    df = spark.createDataFrame([(t, "x") for t in texts], "text string, other string")
+    rows = [(r["value"], r["count"]) for r in Fr.top_categories(df, top_k=top_k).where("column = 'text'").orderBy("rank").collect()]
+    expected = [(start + "b", 2), ("short", 2), (start, 1), (start + "a", 1), (start + "c", 1), ("z" * 80, 1)]
+    assert rows == expected[:top_k]

@@ -150,3 +150,11 @@ def test_odd_column_names(spark):
 def test_clamp_keeps_null(spark):
     df = spark.createDataFrame([(-1.0,), (0.5,), (2.0,), (None,)], "x double")
     assert [r[0] for r in df.select(clamp_unit(F.col("x"))).collect()] == [0.0, 0.5, 1.0, None]
+
+
+@pytest.mark.parametrize("order", [None, "id"])
+def test_examples_beside_a_sketch(spark, order):
+    df = spark.range(3000).select("id", (F.col("id") % 7).alias("n"), F.concat(F.lit("x" * 70), F.col("id") % 40).alias("word"))
+    exact = P.column_summary(df, order_by=order).select("name", "example_values").collect()
+    sketch = P.column_summary(df, order_by=order, approximate_unique=0.02).select("name", "example_values").collect()
+    assert exact == sketch
