@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,10 +58,20 @@ def outside(tag: str, attributes: str, in_article: bool) -> bool:
     return "hidden" in attributes.lower() and bool(HIDDEN.search(attributes)) or "none" in attributes and bool(HIDDEN.search(attributes))
 
 
-def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """The text blocks of a page in order: text, characters inside links, in an element outside the article, in an article, a heading."""
-    out: list[tuple[str, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, outside, in an article
+class Block(NamedTuple):
+    text: str
+    linked: int  # characters inside links
+    outside: bool  # in an element outside the article
+    mark: int  # in no mark, in main, in an article
+    region: int  # number of the innermost article or main, 0 without
+    heading: bool
+
+
+def blocks(html: str) -> list[Block]:
+    """The text blocks of a page in order."""
+    out: list[Block] = []
+    stack: list[tuple[str, bool, int, int]] = []  # tag, outside, mark, region
+    regions = 0
     text: list[str] = []
     linked = links = 0
     heading = False
@@ -69,14 +80,14 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
         nonlocal linked, heading
         words = " ".join(unescape("".join(text)).split())
         if words:
-            top = stack[-1] if stack else ("", False, False)
-            out.append((words, linked, top[1], top[2], heading))
+            top = stack[-1] if stack else ("", False, 0, 0)
+            out.append(Block(words, linked, *top[1:], heading))
         text.clear()
         linked, heading = 0, False
 
     def close(to: int) -> None:
         nonlocal links
-        links -= sum(tag == "a" for tag, _, _ in stack[to:])
+        links -= sum(e[0] == "a" for e in stack[to:])
         del stack[to:]
 
     at, n = 0, len(html)
@@ -122,9 +133,11 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
                     break
                 if open_ in BLOCK and (implied is None or open_ in implied):
                     break
-        in_article = name in ("article", "main") or bool(stack) and stack[-1][2]
-        bad = bool(stack) and stack[-1][1] or outside(name, tag[4], in_article)
-        stack.append((name, bad, in_article))
+        _, bad, mark, region = stack[-1] if stack else ("", False, 0, 0)
+        if name in ("article", "main"):
+            regions += 1
+            mark, region = max(mark, 2 if name == "article" else 1), regions
+        stack.append((name, bad or outside(name, tag[4], mark > 0), mark, region))
         links += name == "a"
         heading = heading or name in ("h1", "h2", "h3", "h4", "h5", "h6")
     flush()
@@ -133,44 +146,69 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
 
 SHORT, LONG = 70, 200
 FEW_STOPS, MANY_STOPS = 0.30, 0.32
-MANY_LINKS = 0.2
+MANY_LINKS = (0.2, 0.33, 0.5)  # of a block without a mark, in main, in an article
+NO_MARK, MAIN, ARTICLE = 0, 1, 2
+
+
+def stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
 
 
-def classified(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
+def classified(found: list[Block]) -> list[bool]:
     """Which blocks are main text.
 
+    A mark (article, main) counts only where its blocks hold at least as much good text, by length,
+    links and stop words, as the blocks without it: a teaser in an article beside the text is no mark.
     First pass, each block alone: outside elements and blocks with many characters in links are bad;
-    where the page marks an article, its other blocks are good and blocks elsewhere bad. Without such
-    marks blocks under 70 characters are short (bad with any link), longer ones are good, nearly good
-    or bad by the share of stop words. Second pass: nearly good and short blocks take the label of
-    the nearest decided blocks: good if both are good, bad if both are bad; between a good and a bad
-    one a nearly good block is good, a short one only if it is a heading before a good block.
+    blocks under 70 characters are short (bad with any link), longer ones are good, nearly good or bad
+    by the share of stop words. Marks shift the thresholds: more links are allowed in them, nearly good
+    is good in an article, and headings may be links; few stop words do not make a block of an article bad.
+    Second pass: the undecided take the label of the nearest decided blocks: good if both are good, bad
+    if both are bad; between a good and a bad one a block that is nearly good or in an article is
+    good, a short one only if it is a heading before a good block. Inside a mark only its own blocks
+    are neighbours, without outside elements; beyond its ends lies a good one for an article, and for
+    main unless it has a good block of its own.
     """
-    marked = any(article and not bad for _, _, bad, article, _ in found)
+    merit = [0 if b.outside or b.linked > MANY_LINKS[NO_MARK] * len(b.text) or len(b.text) < SHORT or stop_share(b.text) < FEW_STOPS else len(b.text) for b in found]
+    held = [sum(m for m, b in zip(merit, found) if b.mark == mark) for mark in (NO_MARK, MAIN, ARTICLE)]
+    article = held[ARTICLE] >= held[NO_MARK] + held[MAIN]
+    main = held[MAIN] + held[ARTICLE] >= held[NO_MARK]
+    marks = [b.mark if (article if b.mark == ARTICLE else main) else NO_MARK for b in found]
     first: list[str] = []
-    for text, linked, bad, article, heading in found:
-        density = linked / max(len(text), 1)
-        if bad or (marked and not article):
+    for b, mark in zip(found, marks):
+        density = b.linked / len(b.text)
+        if b.outside:
             first.append("bad")
-        elif marked:
-            first.append("bad" if density > 0.9 and len(text) < SHORT and not heading else "good")
-        elif density > MANY_LINKS:
+        elif mark and b.heading and len(b.text) < SHORT:
+            first.append("short")
+        elif density > MANY_LINKS[mark]:
             first.append("bad")
-        elif len(text) < SHORT:
-            first.append("bad" if linked else "short")
+        elif len(b.text) < SHORT:
+            first.append("bad" if b.linked and not mark else "short")
         else:
-            words = text.lower().split()
-            stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
-            first.append("good" if stops >= MANY_STOPS and len(text) > LONG else "near" if stops >= FEW_STOPS else "bad")
-    n = len(first)
-    before, after, last = ["bad"] * n, ["bad"] * n, "bad"
-    for i in range(n):
-        before[i] = last
-        last = first[i] if first[i] in ("good", "bad") else last
-    last = "bad"
-    for i in range(n - 1, -1, -1):
-        after[i] = last
-        last = first[i] if first[i] in ("good", "bad") else last
+            stops = stop_share(b.text)
+            if stops >= FEW_STOPS and mark == ARTICLE or stops >= MANY_STOPS and len(b.text) > LONG:
+                first.append("good")
+            else:
+                first.append("near" if stops >= FEW_STOPS or mark == ARTICLE else "bad")
+    regions = [b.region if mark else 0 for b, mark in zip(found, marks)]
+    proven = {r for r, label in zip(regions, first) if label == "good"}
+
+    def nearest(order: Iterable[int]) -> list[str]:
+        """The label of the decided block before each one in this order."""
+        out, last = [""] * len(found), {}
+        for i in order:
+            r, mark = regions[i], marks[i]
+            out[i] = last.get(r, "good" if mark == ARTICLE or mark == MAIN and r not in proven else "bad")
+            if first[i] in ("good", "bad"):
+                if not (mark and found[i].outside):
+                    last[r] = first[i]
+                if mark:
+                    last[0] = first[i]
+        return out
+
+    before, after = nearest(range(len(found))), nearest(reversed(range(len(found))))
     out = []
     for i, label in enumerate(first):
         if label in ("good", "bad"):
@@ -178,13 +216,13 @@ def classified(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
         elif before[i] == after[i]:
             out.append(before[i] == "good")
         else:
-            out.append(label == "near" or found[i][4] and after[i] == "good")
+            out.append(label == "near" or marks[i] == ARTICLE or found[i].heading and after[i] == "good")
     return out
 
 
 def main_text(html: str) -> str:
     found = blocks(html)
-    return " ".join(b[0] for b, good in zip(found, classified(found)) if good)
+    return " ".join(b.text for b, good in zip(found, classified(found)) if good)
 
 
 def extracted(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

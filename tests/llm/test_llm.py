@@ -194,6 +194,18 @@ def test_html():
     assert html.main_text(f"<div><p>{good}</p><p>and short</p><p>{good}</p></div><div><a href='x'>Other links of the page</a></div>") == " ".join(f"{good} and short {good}".split())
 
 
+PROSE = "It is the first of the pages that we have to read and it is long enough for the rules to see that this is a text. " * 3
+
+
+def test_html_marks_are_votes():
+    good = PROSE.strip()
+    teaser = "<article class='card'><h3><a href='x'>Next</a></h3><p>A short teaser</p></article>"
+    assert html.main_text(f"<div><p>{good}</p><p>and short</p><p>{good}</p></div>{teaser}") == f"{good} and short {good}"
+    links = "<ul><li><a href='a'>Home</a><li><a href='b'>All of the other news of this day</a></ul>"
+    assert html.main_text(f"<main>{links}<p>Share this</p>{links}<h1>Title</h1><p>{good}</p><p>{good}</p>{links}<p>Terms apply</p></main>") == f"Title {good} {good}"
+    assert html.main_text("<main><h1>Few</h1><p>words</p></main>") == "Few words"
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, "u", None, 3), (None, None, "<article>a  b</article>", 3), (1, "u", "", 3)], "page_id long, url string, html string, text long")
     assert sorted(map(str, html.extracted(df).select("text", "n_chars").collect())) == sorted(map(str, html.extracted(df).select("text", "n_chars").collect()))
