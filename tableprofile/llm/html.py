@@ -27,6 +27,7 @@ BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUTSIDE = frozenset("nav footer aside form button head menu dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 OUTSIDE_NAMES = frozenset(
@@ -34,28 +35,40 @@ OUTSIDE_NAMES = frozenset(
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "recommended related replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+NO_MARK, MAIN, ARTICLE = 0, 1, 2
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z))""", re.S)
 NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none""", re.I)
 
 
-def outside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element cannot hold text of the article."""
-    if tag in OUTSIDE or tag == "header" and not in_article:
+def outside(tag: str, attributes: str, marked: bool) -> bool:
+    """Whether an element cannot hold text of the article, by its tag, role or because it is hidden."""
+    if tag in OUTSIDE or tag == "header" and not marked:
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
+    if any(kind.lower() == "role" and "".join(found).lower().strip() in OUTSIDE_ROLES for kind, *found in NAMES.findall(attributes)):
+        return True
+    return ("hidden" in attributes.lower() or "none" in attributes) and bool(HIDDEN.search(attributes))
+
+
+def hints(tag: str, attributes: str, mark: int) -> int:
+    """How much the classes and the id of an element speak against it: 2 for a name that is one of the words, 1 for one that contains it.
+
+    The id of a heading or of an element in an article says what it is about, so it does not count.
+    """
+    if not attributes or tag in ("html", "body", "main"):
+        return 0
+    votes = 0
     for kind, *found in NAMES.findall(attributes):
-        value = "".join(found).lower()
-        if kind.lower() == "role":
-            if value.strip() in OUTSIDE_ROLES:
-                return True
+        kind = kind.lower()
+        if kind == "role" or kind == "id" and (mark == ARTICLE or tag in HEADINGS):
             continue
-        for name in value.split():
+        for name in "".join(found).lower().split():
             parts = re.split(r"[^a-z]+", name)
-            if parts[0] not in ("no", "has", "with") and (not OUTSIDE_NAMES.isdisjoint(parts) or "header" in parts and not in_article and tag != "article"):
-                return True
-    return "hidden" in attributes.lower() and bool(HIDDEN.search(attributes)) or "none" in attributes and bool(HIDDEN.search(attributes))
+            if parts[0] not in ("no", "has", "with") and (not OUTSIDE_NAMES.isdisjoint(parts) or "header" in parts and not mark and tag != "article"):
+                votes += 2 if len(parts) == 1 else 1
+    return votes
 
 
 class Block(NamedTuple):
@@ -65,13 +78,14 @@ class Block(NamedTuple):
     mark: int  # in no mark, in main, in an article
     region: int  # number of the innermost article or main, 0 without
     heading: bool
+    hinted: tuple[tuple[int, int], ...]  # number and votes of the elements around it whose names speak against them
 
 
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int, int]] = []  # tag, outside, mark, region
-    regions = 0
+    stack: list[tuple[str, bool, int, int, tuple[tuple[int, int], ...]]] = []  # tag, outside, mark, region, hinted
+    regions = elements = 0
     text: list[str] = []
     linked = links = 0
     heading = False
@@ -80,8 +94,8 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked, heading
         words = " ".join(unescape("".join(text)).split())
         if words:
-            top = stack[-1] if stack else ("", False, 0, 0)
-            out.append(Block(words, linked, *top[1:], heading))
+            top = stack[-1] if stack else ("", False, 0, 0, ())
+            out.append(Block(words, linked, *top[1:4], heading, top[4]))
         text.clear()
         linked, heading = 0, False
 
@@ -133,13 +147,17 @@ def blocks(html: str) -> list[Block]:
                     break
                 if open_ in BLOCK and (implied is None or open_ in implied):
                     break
-        _, bad, mark, region = stack[-1] if stack else ("", False, 0, 0)
+        _, bad, mark, region, hinted = stack[-1] if stack else ("", False, 0, 0, ())
         if name in ("article", "main"):
             regions += 1
             mark, region = max(mark, 2 if name == "article" else 1), regions
-        stack.append((name, bad or outside(name, tag[4], mark > 0), mark, region))
+        votes = hints(name, tag[4], mark)
+        if votes:
+            elements += 1
+            hinted += ((elements, votes),)
+        stack.append((name, bad or outside(name, tag[4], mark > 0), mark, region, hinted))
         links += name == "a"
-        heading = heading or name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        heading = heading or name in HEADINGS
     flush()
     return out
 
@@ -147,7 +165,6 @@ def blocks(html: str) -> list[Block]:
 SHORT, LONG = 70, 200
 FEW_STOPS, MANY_STOPS = 0.30, 0.32
 MANY_LINKS = (0.2, 0.33, 0.5)  # of a block without a mark, in main, in an article
-NO_MARK, MAIN, ARTICLE = 0, 1, 2
 
 
 def stop_share(text: str) -> float:
@@ -155,6 +172,41 @@ def stop_share(text: str) -> float:
     return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
 
 
+def good_text(b: Block) -> float:
+    """The characters of a block that is not short and has few links; they count half where it has few stop words."""
+    if b.outside or b.linked > MANY_LINKS[NO_MARK] * len(b.text) or len(b.text) < SHORT:
+        return 0
+    return len(b.text) if stop_share(b.text) >= FEW_STOPS else len(b.text) / 2
+
+
+def ruled_out(found: list[Block]) -> list[Block]:
+    """Blocks in elements whose names speak against them are outside, unless the text of the element outweighs its names.
+
+    An element with over 200 characters and half of the good text of the page is never ruled out; text that is long, with
+    few links and many stop words, takes away one vote, and votes that are left rule the element out.
+    """
+    if not any(b.hinted for b in found):
+        return found
+    page = 0.0
+    held: dict[int, list[float]] = {}  # characters, inside links, good text
+    for b in found:
+        good = good_text(b)
+        page += good
+        if not b.outside:
+            for element, _ in b.hinted:
+                sums = held.setdefault(element, [0, 0, 0])
+                for i, n in enumerate((len(b.text), b.linked, good)):
+                    sums[i] += n
+
+    def out(element: int, votes: int) -> bool:
+        size, linked, good = held[element]
+        if good > LONG and 2 * good >= page:
+            return False
+        return votes > (size > LONG and linked <= MANY_LINKS[NO_MARK] * size and good > size / 2)
+
+    return [b._replace(outside=b.outside or any(out(*h) for h in b.hinted)) for b in found]
+
+
 def classified(found: list[Block]) -> list[bool]:
     """Which blocks are main text.
 
@@ -170,7 +222,8 @@ def classified(found: list[Block]) -> list[bool]:
     are neighbours, without outside elements; beyond its ends lies a good one for an article, and for
     main unless it has a good block of its own.
     """
-    merit = [0 if b.outside or b.linked > MANY_LINKS[NO_MARK] * len(b.text) or len(b.text) < SHORT or stop_share(b.text) < FEW_STOPS else len(b.text) for b in found]
+    found = ruled_out(found)
+    merit = [good_text(b) for b in found]
     held = [sum(m for m, b in zip(merit, found) if b.mark == mark) for mark in (NO_MARK, MAIN, ARTICLE)]
     article = held[ARTICLE] >= held[NO_MARK] + held[MAIN]
     main = held[MAIN] + held[ARTICLE] >= held[NO_MARK]

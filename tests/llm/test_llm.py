@@ -206,6 +206,16 @@ def test_html_marks_are_votes():
     assert html.main_text("<main><h1>Few</h1><p>words</p></main>") == "Few words"
 
 
+def test_html_names_are_votes():
+    good = PROSE.strip()
+    for wrapper in ("div class='content sidebar-right'", "div id='layout-with-sidebar'", "div class=widget", "article class='post comments-open'"):
+        assert html.main_text(f"<{wrapper}><p>{good}</p><div class=sidebar><p>Other things</p></div></{wrapper.split()[0]}>") == good
+    page = f"<article><p>{good}</p><section id='related-work'><h2 id='search'>Search</h2><p>{good}</p></section><div class=related>{good}</div><p>{good}</p></article>"
+    assert html.main_text(page) == f"{good} Search {good} {good}"
+    page = f"<div><p>{good}</p><p>{good}</p><p>{good}</p></div><div class='{{}}'><p>{good}</p></div>"
+    assert html.main_text(page.format("text share-your-view")) == " ".join([good] * 4) and html.main_text(page.format("comments")) == " ".join([good] * 3)
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, "u", None, 3), (None, None, "<article>a  b</article>", 3), (1, "u", "", 3)], "page_id long, url string, html string, text long")
     assert sorted(map(str, html.extracted(df).select("text", "n_chars").collect())) == sorted(map(str, html.extracted(df).select("text", "n_chars").collect()))
