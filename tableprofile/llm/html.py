@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 
 from tableprofile.llm.common import in_small_batches
 
-# Frequent function words of English, French, German and Spanish.
+# Frequent function words of English, French, German, Spanish, Portuguese, Italian, Dutch, Polish, Swedish, Danish, Czech, Turkish and Russian.
 STOP_WORDS = frozenset(
     "a an and are as at be by for from has have he in is it not of on or that the this to was were which will with you "
     "au aux avec ce dans de des du elle en est et il la le les leur ne nous ou par pas pour que qui sa se son sur un une "
     "als am auch auf aus bei das dem den der die ein eine einer es für hat im ist mit nach nicht sich sie sind und von war zu zum "
-    "al como con del el ella ese esta este lo los las más muy no o para pero por se si sin su sus una y ya".split()
+    "al como con del el ella ese esta este lo los las más muy no o para pero por se si sin su sus una y ya "
+    "ao aos as às com como da das do dos e é em essa esse esta foi isso mais mas não na nas nos o os ou pela pelo por são se seu sua também um uma "
+    "al alla anche che chi ci con da dal dei del della delle di è gli ha i il in lo ma nel nella non per più si sono sul sulla un una uno "
+    "aan als bij dat de deze die door een en er het hij ik in is maar met naar niet of om ook op te tot uit van voor was wat werd ze zijn zo "
+    "ale by był była było być co czy dla do go i ich jak jako jego jest już lub ma na nie o od oraz po przez przy się są ta tak także tego ten to tym w we z za ze że "
+    "att av de den det efter en ett för från har i inte med men och om på sig som till var vid är af at blev efter er et fra ikke og til "
+    "a ale by byl byla bylo do i jak je jeho jsou k který na o od po pro s se si tak to u v ve z za že "
+    "bir bu çok da daha de gibi için ile ise ki kadar olan olarak sonra ve veya "
+    "а без бы был была было быть в во вы да для до его ее если же за и из или их к как когда который мы на не но о об он она они от по при с со так также то у что это".split()
 )
 # Elements by their role in HTML.
 RAW = frozenset("script style textarea title noscript template iframe svg math object select option datalist".split())
@@ -172,11 +180,20 @@ def stop_share(text: str) -> float:
     return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
 
 
+#: Scripts that write a word with few characters or without spaces: kana, Han, Hangul, Thai, Lao, Khmer, Burmese.
+DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+
+
+def length(text: str) -> int:
+    """Characters; those of dense scripts count three times."""
+    return len(text) if text.isascii() else len(text) + 2 * len(DENSE.findall(text))
+
+
 def good_text(b: Block) -> float:
     """The characters of a block that is not short and has few links; they count half where it has few stop words."""
-    if b.outside or b.linked > MANY_LINKS[NO_MARK] * len(b.text) or len(b.text) < SHORT:
+    if b.outside or b.linked > MANY_LINKS[NO_MARK] * len(b.text) or length(b.text) < SHORT:
         return 0
-    return len(b.text) if stop_share(b.text) >= FEW_STOPS else len(b.text) / 2
+    return length(b.text) if stop_share(b.text) >= FEW_STOPS else length(b.text) / 2
 
 
 def ruled_out(found: list[Block]) -> list[Block]:
@@ -213,9 +230,11 @@ def classified(found: list[Block]) -> list[bool]:
     A mark (article, main) counts only where its blocks hold at least as much good text, by length,
     links and stop words, as the blocks without it: a teaser in an article beside the text is no mark.
     First pass, each block alone: outside elements and blocks with many characters in links are bad;
-    blocks under 70 characters are short (bad with any link), longer ones are good, nearly good or bad
-    by the share of stop words. Marks shift the thresholds: more links are allowed in them, nearly good
-    is good in an article, and headings may be links; few stop words do not make a block of an article bad.
+    blocks under 70 characters are short (bad with any link), longer ones are good or nearly good
+    by the share of stop words, or undecided with few of them. Where longer blocks with stop words are under a
+    quarter of the text of a page, its language is not listed and length alone tells good from nearly good. Marks shift the
+    thresholds: more links are allowed in them, nearly good is good in an article, headings may be links,
+    and a block of an article with few stop words is nearly good.
     Second pass: the undecided take the label of the nearest decided blocks: good if both are good, bad
     if both are bad; between a good and a bad one a block that is nearly good or in an article is
     good, a short one only if it is a heading before a good block. Inside a mark only its own blocks
@@ -224,27 +243,28 @@ def classified(found: list[Block]) -> list[bool]:
     """
     found = ruled_out(found)
     merit = [good_text(b) for b in found]
+    listed = 4 * sum(m for m, b in zip(merit, found) if m and stop_share(b.text) >= FEW_STOPS) >= sum(merit)
     held = [sum(m for m, b in zip(merit, found) if b.mark == mark) for mark in (NO_MARK, MAIN, ARTICLE)]
     article = held[ARTICLE] >= held[NO_MARK] + held[MAIN]
     main = held[MAIN] + held[ARTICLE] >= held[NO_MARK]
     marks = [b.mark if (article if b.mark == ARTICLE else main) else NO_MARK for b in found]
     first: list[str] = []
     for b, mark in zip(found, marks):
-        density = b.linked / len(b.text)
+        density, size = b.linked / len(b.text), length(b.text)
         if b.outside:
             first.append("bad")
-        elif mark and b.heading and len(b.text) < SHORT:
+        elif mark and b.heading and size < SHORT:
             first.append("short")
         elif density > MANY_LINKS[mark]:
             first.append("bad")
-        elif len(b.text) < SHORT:
+        elif size < SHORT:
             first.append("bad" if b.linked and not mark else "short")
         else:
             stops = stop_share(b.text)
-            if stops >= FEW_STOPS and mark == ARTICLE or stops >= MANY_STOPS and len(b.text) > LONG:
+            if stops >= FEW_STOPS and mark == ARTICLE or (stops >= MANY_STOPS or not listed) and size > LONG:
                 first.append("good")
             else:
-                first.append("near" if stops >= FEW_STOPS or mark == ARTICLE else "bad")
+                first.append("near" if stops >= FEW_STOPS or mark == ARTICLE or not listed else "few")
     regions = [b.region if mark else 0 for b, mark in zip(found, marks)]
     proven = {r for r, label in zip(regions, first) if label == "good"}
 

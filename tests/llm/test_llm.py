@@ -216,6 +216,20 @@ def test_html_names_are_votes():
     assert html.main_text(page.format("text share-your-view")) == " ".join([good] * 4) and html.main_text(page.format("comments")) == " ".join([good] * 3)
 
 
+def test_html_few_stop_words():
+    good = PROSE.strip()
+    links = "<ul><li><a href='a'>Home</a><li><a href='b'>All of the other news</a></ul>"
+    numbers = "Berlin 3,755,251; Hamburg 1,892,122; München 1,512,491; Köln 1,084,831; Frankfurt 773,068; Stuttgart 632,865; Leipzig 616,093."
+    assert html.main_text(f"{links}<div><p>{good}</p><p>{numbers}</p><p>{good}</p></div>{links}<p>{numbers}</p>{links}") == f"{good} {numbers} {good}"
+    portuguese = "O livro que ela leu na escola não era o mais novo, mas foi com ele que os alunos da turma viram como se faz uma boa história para todos. " * 2
+    finnish = "Vanha kirjasto avattiin uudelleen keväällä, jolloin kaupungin asukkaat kokoontuivat katsomaan korjattua rakennusta ja kuuntelemaan musiikkia. " * 2
+    chinese = "这座城市的图书馆在春天重新开放，许多居民前来参观修复后的建筑，并聆听了当地乐团的演奏。人们在阅览室里谈论书籍，孩子们在院子里玩耍，直到傍晚才慢慢离开。"
+    for text in (portuguese, finnish, chinese):
+        assert html.main_text(f"{links}<div><p>{text}</p><p>{text}</p></div>{links}") == " ".join([text.strip()] * 2)
+    quote = "It is the first of the pages that we have to read, and it is long enough for this."
+    assert html.main_text(f"<div><p>{finnish}</p><p>{quote}</p><p>{finnish}</p></div>") == f"{finnish.strip()} {quote} {finnish.strip()}"
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, "u", None, 3), (None, None, "<article>a  b</article>", 3), (1, "u", "", 3)], "page_id long, url string, html string, text long")
     assert sorted(map(str, html.extracted(df).select("text", "n_chars").collect())) == sorted(map(str, html.extracted(df).select("text", "n_chars").collect()))
