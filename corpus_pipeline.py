@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +17,19 @@ from tableprofile.llm.queries import MODEL_FILE
 from tableprofile.llm.superminhash import near_groups
 
 
-def _without(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """docs without the rows that an operator did not keep; rows without an id stay."""
-    gone = saved(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(small(gone), docs["doc_id"] == gone["gone_id"], "left_anti")
+def _without(docs: DataFrame, groups_of: Callable[..., DataFrame]) -> DataFrame:
+    """docs without the rows that an operator did not keep, row by row.
+
+    Where an id is missing or repeats, rows are numbered by id (missing ones last) and text, and the
+    operator sees these numbers as ids: of rows that are equal in both one stays, and other texts
+    under an id that goes are judged on their own.
+    """
+    columns, id = docs.columns, "doc_id"
+    if not docs.groupBy(id).count().where("count > 1 or doc_id is null").isEmpty():
+        id = next(name for i in itertools.count() if (name := f"row_{i}") not in columns)
+        docs = saved(docs.orderBy(F.col("doc_id").asc_nulls_last(), "text").withColumn(id, F.monotonically_increasing_id()))
+    gone = saved(groups_of(docs, id=id).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(small(gone), docs[id] == gone["gone_id"], "left_anti").select(*columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,12 +40,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts keep the row with the smallest id."""
-    return _without(docs, exact_groups(docs))
+    return _without(docs, exact_groups)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates (five words, similarity 0.8) keep the row with the smallest id."""
-    return _without(docs, near_groups(docs))
+    return _without(docs, near_groups)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -333,6 +333,18 @@ def test_shingles_follow_words():
     assert len(a) == 2 and (a == b).all() and len(textbytes.shingles(np.frombuffer(b"a b", np.uint8), 3)) == 1
 
 
+def test_pipeline_dedup_by_row(spark):
+    import corpus_pipeline
+
+    rows = [(3, "A"), (5, "A"), (5, "unique text"), (7, "equal rows"), (7, "equal rows"), (None, "A"), (None, "no id"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(3, "A"), (5, "unique text"), (7, "equal rows"), (None, "no id")}
+    for stage in (corpus_pipeline.exact_dedup, corpus_pipeline.minhash_dedup):
+        got = [tuple(r) for r in stage(spark, docs, FOLDER).collect()]
+        assert len(got) == 4 and set(got) == want
+    assert {tuple(r) for r in corpus_pipeline.exact_dedup(spark, docs.where("doc_id is not null").limit(2), FOLDER).collect()} == {(3, "A")}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
