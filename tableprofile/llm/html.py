@@ -86,6 +86,7 @@ class Block(NamedTuple):
     mark: int  # in no mark, in main, in an article
     region: int  # number of the innermost article or main, 0 without
     heading: bool
+    stops: float  # share of stop words of a block that is not short nor outside, 0 of others
     hinted: tuple[tuple[int, int], ...]  # number and votes of the elements around it whose names speak against them
 
 
@@ -103,7 +104,7 @@ def blocks(html: str) -> list[Block]:
         words = " ".join(unescape("".join(text)).split())
         if words:
             top = stack[-1] if stack else ("", False, 0, 0, ())
-            out.append(Block(words, linked, *top[1:4], heading, top[4]))
+            out.append(Block(words, linked, *top[1:4], heading, 0 if top[1] or length(words) < SHORT else stop_share(words), top[4]))
         text.clear()
         linked, heading = 0, False
 
@@ -193,7 +194,7 @@ def good_text(b: Block) -> float:
     """The characters of a block that is not short and has few links; they count half where it has few stop words."""
     if b.outside or b.linked > MANY_LINKS[NO_MARK] * len(b.text) or length(b.text) < SHORT:
         return 0
-    return length(b.text) if stop_share(b.text) >= FEW_STOPS else length(b.text) / 2
+    return length(b.text) if b.stops >= FEW_STOPS else length(b.text) / 2
 
 
 def ruled_out(found: list[Block]) -> list[Block]:
@@ -243,7 +244,7 @@ def classified(found: list[Block]) -> list[bool]:
     """
     found = ruled_out(found)
     merit = [good_text(b) for b in found]
-    listed = 4 * sum(m for m, b in zip(merit, found) if m and stop_share(b.text) >= FEW_STOPS) >= sum(merit)
+    listed = 4 * sum(m for m, b in zip(merit, found) if m and b.stops >= FEW_STOPS) >= sum(merit)
     held = [sum(m for m, b in zip(merit, found) if b.mark == mark) for mark in (NO_MARK, MAIN, ARTICLE)]
     article = held[ARTICLE] >= held[NO_MARK] + held[MAIN]
     main = held[MAIN] + held[ARTICLE] >= held[NO_MARK]
@@ -260,7 +261,7 @@ def classified(found: list[Block]) -> list[bool]:
         elif size < SHORT:
             first.append("bad" if b.linked and not mark else "short")
         else:
-            stops = stop_share(b.text)
+            stops = b.stops
             if stops >= FEW_STOPS and mark == ARTICLE or (stops >= MANY_STOPS or not listed) and size > LONG:
                 first.append("good")
             else:
