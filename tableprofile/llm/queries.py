@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableprofile.llm.chat import conversation_digests, examples
+from tableprofile.llm.codes import vector_codes
 from tableprofile.llm.common import table
 from tableprofile.llm.exact import exact_groups
 from tableprofile.llm.html import extracted
@@ -87,6 +88,11 @@ def op10_sentencepiece(spark, folder):
     return encoded(table(spark, folder, "documents"), MODEL_FILE)
 
 
+@query
+def op13_vector_codes(spark, folder):
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
 @query
 def pipeline(spark, folder):
     from corpus_pipeline import run

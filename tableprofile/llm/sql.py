@@ -64,3 +64,35 @@ r AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+_ROUND = """, {new}n AS MATERIALIZED (
+  SELECT k, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT v.k, v.p, c.e, CAST(list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - c.x[i]) ** 2)) AS BIGINT) AS d
+    FROM v JOIN {old} c ON v.p = c.p
+  ) GROUP BY k, p
+)"""
+_BETTER = """, {new} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM {old} c LEFT JOIN (
+    SELECT p, e, list(m ORDER BY i) AS x FROM (
+      SELECT n.p, n.e, i, CAST(floor(sum(v.x[i]) / count(*)) AS BIGINT) AS m
+      FROM {new}n n JOIN v ON v.k = n.k AND v.p = n.p, range(1, 5) r(i) GROUP BY n.p, n.e, i
+    ) GROUP BY p, e
+  ) m ON m.p = c.p AND m.e = c.e
+)"""
+
+ORACLES["op13_vector_codes"] = (
+    """
+WITH g AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS k, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS MATERIALIZED (SELECT k, p, v[4 * p + 1:4 * p + 4] AS x FROM g, range(0, 16) r(p)),
+b0 AS MATERIALIZED (SELECT p, k - 1 AS e, x FROM v WHERE k <= 64)"""
+    + _ROUND.format(new="b1", old="b0") + _BETTER.format(new="b1", old="b0")
+    + _ROUND.format(new="b2", old="b1") + _BETTER.format(new="b2", old="b1") + _ROUND.format(new="b3", old="b2")
+    + """, s AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2),
+c AS (SELECT k, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM b3n GROUP BY k)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM g JOIN c USING (k), s
+"""
+)
