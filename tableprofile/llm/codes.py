@@ -31,7 +31,7 @@ def integers(column: pa.ListArray, width: int, scale: int) -> np.ndarray:
     flat, at = np.clip(flat, -LIMIT, LIMIT).astype(np.int64), at - at[0]
     sizes = np.diff(at)
     if len(sizes) and (sizes == width).all():
-        return flat.reshape(-1, width)
+        return flat.reshape(len(sizes), width)
     out = np.zeros((len(sizes), width), np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     out[row, np.arange(len(flat)) - np.repeat(at[:-1], sizes)] = flat

@@ -19,6 +19,7 @@ from tableprofile.llm.quality import grades_of, quality_grades
 from tableprofile.llm.suffix import deduplicated
 from tableprofile.llm.superminhash import near_groups
 from tableprofile.llm.topk import top_k
+from tableprofile.llm.trie import prefix_trie
 
 #: The vocabulary of the queries and of the pipeline; operators take any model file.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -88,6 +89,11 @@ def op10_sentencepiece(spark, folder):
     return encoded(table(spark, folder, "documents"), MODEL_FILE)
 
 
+@query
+def op11_prefix_trie(spark, folder):
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
 @query
 def op13_vector_codes(spark, folder):
     return vector_codes(table(spark, folder, "embeddings"))

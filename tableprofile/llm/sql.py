@@ -96,3 +96,29 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM g JOIN c USING (k), s
 """
 )
+
+ORACLES["op11_prefix_trie"] = """
+WITH o AS (
+  SELECT conv_id, list(struct_pack(b := bytes, k := key) ORDER BY turn NULLS FIRST, key) AS t FROM (
+    SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key FROM conversations
+  ) WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda a, c: list_reduce(range(0, 8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(a, c)), 4294967295::BIGINT), 4294967295::BIGINT) % 9 AS h FROM o
+), r AS (
+  SELECT a.conv_id, list_concat(coalesce(b.t, [])[1:a.h], a.t[a.h + 1:]) AS t FROM h a LEFT JOIN o b ON b.conv_id = a.conv_id - a.conv_id % 5
+), p AS MATERIALIZED (
+  SELECT conv_id, d, len(t) AS len, coalesce(t[d].b, 0) AS b, sha256(array_to_string(list_transform(t[1:d], lambda x: x.k), ',')) AS k
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM r)
+), n AS MATERIALIZED (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, max(b) AS b, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len = d), '') AS ends FROM p GROUP BY k, d
+), u AS MATERIALIZED (SELECT n.*, q.k AS up FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.d = n.d - 1),
+c AS MATERIALIZED (SELECT up AS k, d - 1 AS d, count(*) AS c FROM u WHERE d > 0 GROUP BY ALL),
+s AS (
+  SELECT q.k, q.d, count(*) FILTER (c.c IS NULL) AS leaves, sum((n.n - 1) * n.b) AS saved
+  FROM n LEFT JOIN c ON c.k = n.k AND c.d = n.d JOIN p q ON q.conv_id = n.conv_id AND q.d <= n.d GROUP BY ALL
+)
+SELECT u.conv_id, CAST(u.d AS BIGINT) AS depth, m.conv_id AS parent_conv_id, u.n AS n_convs, coalesce(c.c, 0) AS n_children, s.leaves AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(u.ends) AS ends_sha256
+FROM u JOIN s ON s.k = u.k AND s.d = u.d LEFT JOIN c ON c.k = u.k AND c.d = u.d LEFT JOIN n m ON m.k = u.up AND m.d = u.d - 1
+"""
