@@ -14,6 +14,7 @@ from tableprofile.llm.exact import exact_groups
 from tableprofile.llm.html import extracted
 from tableprofile.llm.langid import predicted
 from tableprofile.llm.mixing import mixture
+from tableprofile.llm.perplexity import quality_rules
 from tableprofile.llm.pieces import encoded
 from tableprofile.llm.quality import grades_of, quality_grades
 from tableprofile.llm.suffix import deduplicated
@@ -94,6 +95,12 @@ def op11_prefix_trie(spark, folder):
     return prefix_trie(table(spark, folder, "conversations"))
 
 
+@query
+def op12_quality_rules(spark, folder):
+    out = quality_rules(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op13_vector_codes(spark, folder):
     return vector_codes(table(spark, folder, "embeddings"))
