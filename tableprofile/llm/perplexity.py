@@ -147,7 +147,7 @@ def gram_counts(docs: DataFrame, pending: int = 1 << 20, held: int = 1 << 21) ->
 def _discounts(c: Column) -> Column:
     """Array of the three discounts of an order from how many of its n-grams have a count of 1, 2, 3 and 4."""
     n = [F.count_if(c == i).cast("double") for i in range(1, 5)]
-    y = n[0] / (n[0] + 2 * n[1])
+    y = F.try_divide(n[0], n[0] + 2 * n[1])
     d = [i - (i + 1) * y * F.try_divide(n[i], n[i - 1]) for i in range(1, 4)]
     good = (n[0] > 0) & (n[1] > 0) & (n[2] > 0) & (n[3] > 0)
     for i in range(3):

@@ -108,9 +108,9 @@ def made():
     return rows
 
 
-@pytest.mark.parametrize("max_entries", [1 << 21, 300])
+@pytest.mark.parametrize("max_entries", [1 << 21, 3000])
 def test_rules(spark, max_entries):
-    """Bits and verdicts of all rows; the second case reads the model in many parts."""
+    """Bits and verdicts of all rows; the second case reads the model in several parts."""
     rows = made()
     got = P.quality_rules(frame(spark, rows), max_entries=max_entries).collect()
     models = {lang: brute_model([t for _, t, x in rows if (x or "") == lang]) for lang in ("xx", "", "yy")}
