@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from catalog.logistic_sql import DOCUMENT_FEATURES, grid_sql, predict_sql
 from catalog.queries import MATRIX_COLUMNS, SCALED, SIZE_EDGES, SIZE_LABELS, WIDE_COLUMNS
 from tableprofile.operators.quality import NOT_READY, READY
 
@@ -499,4 +500,6 @@ ORACLES |= {
     "report_histogram_file": ORACLES["histogram_bins"],
     "report_patterns_file": ORACLES["missing_patterns"],
     "csv_quality_report": ORACLES["quality_report"],
+    "logistic_grid": grid_sql(split_sql(DOCUMENT_FEATURES, "quality", "doc_id")),
+    "logistic_predict": predict_sql(split_sql(DOCUMENT_FEATURES, "quality", "doc_id")),
 }

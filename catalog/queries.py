@@ -706,7 +706,7 @@ def fitted_grid(spark, folder):
 
 @query
 def logistic_grid(spark, folder):
-    return fitted_grid(spark, folder)[1]
+    return rounded(fitted_grid(spark, folder)[1], 9, "accuracy", "roc_auc", "precision", "recall", "f1")
 
 
 @query
@@ -714,4 +714,5 @@ def logistic_predict(spark, folder):
     split, found, fitted = fitted_grid(spark, folder)
     best = modeling.best_model(found).first()["c"]
     test = split.where("split = 'test'")
-    return modeling.predict(test, fitted, best).select("doc_id", "quality", "prediction", "probability")
+    predicted = modeling.predict(test, fitted, best).select("doc_id", "quality", "prediction", "probability")
+    return rounded(predicted, 6, "probability")

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions.columns import col, fields, present
 from tableprofile.functions.small import null_safe_on, settle
+from tableprofile.operators.logistic import LogisticModel, fit_penalties
 from tableprofile.operators.metrics import binary_metrics, roc_auc
 
 # Fixed values of the experiment.
@@ -132,26 +129,19 @@ def apply_scaler(df: DataFrame, scaler: DataFrame) -> DataFrame:
     return df.withColumns(scaled)
 
 
-def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="feature_vector").transform(df)
+def fit_logistic(train: DataFrame, label: str, features: Sequence[str], c: float, max_iterations: int = MAX_ITERATIONS) -> LogisticModel:
+    """L2 logistic regression on features as they are, intercept not penalised; C weighs the summed loss against the penalty."""
+    return _fitted(train, label, features, [c], max_iterations)[float(c)]
 
 
-def fit_logistic(
-    vectors: DataFrame, label: str, c: float, rows: int, max_iterations: int = MAX_ITERATIONS
-) -> LogisticRegressionModel:
-    """L2 logistic regression on `feature_vector`, intercept not penalised.
-
-    C weighs the summed loss against the penalty; Spark averages the loss, hence 1 / (C rows).
-    """
-    return LogisticRegression(
-        featuresCol="feature_vector",
-        labelCol=label,
-        elasticNetParam=0.0,
-        standardization=False,
-        regParam=1.0 / (c * rows),
-        maxIter=max_iterations,
-        tol=1e-6,
-    ).fit(vectors)
+def _fitted(train: DataFrame, label: str, features: Sequence[str], grid: Sequence[float], max_iterations: int) -> dict[float, LogisticModel]:
+    rows = train.select(col(label).cast("double").alias("y"), *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    # Every pass reads these rows; lost blocks are recomputed.
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit_penalties(rows, grid, max_iterations)
+    finally:
+        rows.unpersist()
 
 
 @dataclass(frozen=True)
@@ -160,38 +150,35 @@ class Fitted:
 
     features: tuple[str, ...]
     scaler: DataFrame
-    models: dict[float, LogisticRegressionModel]
+    models: dict[float, LogisticModel]
 
 
 def fit_grid(
-    train: DataFrame, features: Sequence[str], label: str, grid: Sequence[float] = C_GRID, parallelism: int = 4
+    train: DataFrame, features: Sequence[str], label: str, grid: Sequence[float] = C_GRID, max_iterations: int = MAX_ITERATIONS
 ) -> Fitted:
-    """Scale on the training rows and fit one model per C, `parallelism` fits at a time."""
+    """Scale on the training rows and fit one model per C, all of them in the same passes."""
     scaler = settle(fit_scaler(train, features))
-    vectors = _vectors(apply_scaler(train, scaler), features).select(col(label).cast("double").alias("y"), "feature_vector")
-    # Every fit iterates over these rows; lost blocks are recomputed.
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = vectors.count()
-        fit = inheritable_thread_target(train.sparkSession)(lambda c: fit_logistic(vectors, "y", c, rows))
-        with ThreadPool(parallelism) as pool:
-            models = dict(zip(map(float, grid), pool.map(fit, grid, chunksize=1)))
-    finally:
-        vectors.unpersist()
-    return Fitted(tuple(features), scaler, models)
+    return Fitted(tuple(features), scaler, _fitted(apply_scaler(train, scaler), label, features, grid, max_iterations))
 
 
 def predict_all(df: DataFrame, fitted: Fitted, keep: Sequence[str]) -> DataFrame:
-    """(keep..., c, prediction, probability): every row scored by every model, in one pass."""
-    scored = _vectors(apply_scaler(df.withColumns({f"_keep_{k}": col(k) for k in keep}), fitted.scaler), fitted.features)
+    """(keep..., c, prediction, probability): every row scored by every model, in one pass.
+
+    Prediction and probability (of class 1) are NULL where a feature is missing.
+    """
+    scaled = apply_scaler(df.withColumns({f"_keep_{k}": col(k) for k in keep}), fitted.scaler)
     cells: list[Column] = []
-    for i, (c, model) in enumerate(fitted.models.items()):
-        quiet = model.copy()
-        quiet.setPredictionCol(f"prediction{i}").setProbabilityCol(f"probability{i}").setRawPredictionCol("")
-        scored = quiet.transform(scored)
-        cells += [F.lit(c), F.col(f"prediction{i}").cast("int"), vector_to_array(F.col(f"probability{i}"))[1]]
-    kept = [F.col(f"`_keep_{k}`").alias(k) for k in keep]
-    return scored.select(*kept, F.stack(F.lit(len(fitted.models)), *cells).alias("c", "prediction", "probability"))
+    for c, model in fitted.models.items():
+        score = F.lit(model.intercept)
+        for name, weight in zip(fitted.features, model.coefficients):
+            score = score + F.nullif(col(name), F.lit(float("nan"))) * F.lit(weight)
+        cells.append(F.struct(F.lit(c).alias("c"), score.alias("score")))
+    kept = [F.col(f"`_keep_{k}`").alias(f"k{i}") for i, k in enumerate(keep)]
+    # A score that is computed once per row and model is all that prediction and probability need.
+    scored = scaled.select(*kept, F.explode(F.array(*cells)).alias("m")).select(
+        *[f"k{i}" for i in range(len(keep))], "m.c", (F.col("m.score") > 0).cast("int"), 1 / (1 + F.exp(-F.col("m.score")))
+    )
+    return scored.toDF(*keep, "c", "prediction", "probability")
 
 
 def predict(df: DataFrame, fitted: Fitted, c: float) -> DataFrame:

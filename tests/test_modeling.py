@@ -184,13 +184,65 @@ def test_grid_against_newton(spark):
     for row in found:
         w = newton((x[ids] - mean) / std, y[ids], row["c"])
         model = fitted.models[row["c"]]
-        np.testing.assert_allclose(model.coefficients.toArray(), w[:2], rtol=2e-3, atol=1e-4)
-        assert model.intercept == pytest.approx(w[2], abs=2e-3)
+        np.testing.assert_allclose(model.coefficients, w[:2], rtol=1e-6, atol=1e-9)
+        assert model.intercept == pytest.approx(w[2], rel=1e-6, abs=1e-9) and model.passes < 30
         probability = 1 / (1 + np.exp(-(((x[held] - mean) / std) @ w[:2] + w[2])))
-        assert row["roc_auc"] == pytest.approx(brute_auc(y[held], probability), abs=2e-3)
-        assert row["accuracy"] == pytest.approx(((probability > 0.5) == y[held]).mean(), abs=0.02)
+        assert row["roc_auc"] == pytest.approx(brute_auc(y[held], probability), abs=1e-9)
+        assert row["accuracy"] == pytest.approx(((probability > 0.5) == y[held]).mean())
     best = L.best_model(spark.createDataFrame(found)).first()
     assert best["roc_auc"] == max(r["roc_auc"] for r in found)
     predicted = L.predict(split.where("split = 'test'"), fitted, best["c"])
     assert set(predicted.columns) == {"id", "a", "b", "y", "split", "prediction", "probability"}
     assert all((r["probability"] > 0.5) == (r["prediction"] == 1) for r in predicted.collect())
+
+
+def test_one_pass_serves_all_penalties(spark, monkeypatch):
+    """Passes over the rows do not grow with the grid, and no thread is needed."""
+    from tableprofile.operators import logistic
+
+    passes = []
+    plain = logistic._sums
+    monkeypatch.setattr(logistic, "_sums", lambda rows, points: passes.append(len(points)) or plain(rows, points))
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(size=300) > 0).astype(float)
+    df = spark.createDataFrame([(float(t), *map(float, r)) for t, r in zip(y, x)], "y double, a double, b double, c double")
+    grid = [0.001, 0.1, 1.0, 10.0, 1000.0]
+    models = logistic.fit_penalties(df, grid, 100)
+    assert passes[0] == len(grid) and len(passes) == models[1.0].passes < 30
+    for c in grid:
+        np.testing.assert_allclose([*models[c].coefficients, models[c].intercept], newton(x, y, c), rtol=1e-6, atol=1e-9)
+
+
+def test_steps_that_overshoot_are_halved(spark):
+    """Nearly separable rows with outliers, where plain Newton steps from the start raise the loss."""
+    from tableprofile.operators import logistic
+
+    x = [-20.0] * 50 + [20.0] * 50 + [400.0, -400.0]
+    y = [0.0] * 50 + [1.0] * 50 + [0.0, 1.0]
+    df = spark.createDataFrame(list(zip(y, x)), "y double, a double")
+    model = logistic.fit_penalties(df, [100.0], 200)[100.0]
+    z = np.array(x) * model.coefficients[0] + model.intercept
+    residual = 1 / (1 + np.exp(-z)) - np.array(y)
+    assert abs(model.coefficients[0] + 100 * (residual * x).sum()) < 1e-4 and abs(residual.sum()) < 1e-6
+
+
+def test_rows_that_cannot_be_fitted(spark):
+    from pyspark.errors import PythonException
+
+    from tableprofile.operators import logistic
+
+    one = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "y double, a double")
+    for rows in (one, one.limit(0)):
+        with pytest.raises(ValueError, match="labels 0 and 1"):
+            logistic.fit_penalties(rows, [1.0], 10)
+    gap = spark.createDataFrame([(1.0, 2.0), (0.0, None)], "y double, a double")
+    with pytest.raises(PythonException, match="missing"):
+        logistic.fit_penalties(gap, [1.0], 10)
+
+
+def test_missing_feature_has_no_prediction(spark):
+    fitted = L.Fitted(("a",), spark.createDataFrame([("a", 0.0, 1.0)], "feature string, mean double, std double"), {1.0: L.LogisticModel((2.0,), -1.0, 1)})
+    df = spark.createDataFrame([(0.5,), (1.0,), (None,), (float("nan"),), (-1e6,)], "a double")
+    got = [(r["prediction"], r["probability"]) for r in L.predict(df, fitted, 1.0).collect()]
+    assert got[0] == (0, 0.5) and got[1][0] == 1 and got[2] == got[3] == (None, None) and got[4] == (0, 0.0)
