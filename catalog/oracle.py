@@ -236,6 +236,17 @@ t AS (SELECT l.*, CAST(least(floor((l_orderkey - low) / ((high - low) / 10e0)),
 {union(parts)}"""
 
 
+def matrix_blocks_sql(source: str, names: list[str], order_by: str, blocks: int) -> str:
+    pattern = " || ".join(f"CASE WHEN {n} IS NULL THEN '1' ELSE '0' END" for n in names)
+    parts = [
+        f"SELECT block, min(i) AS first_row, count(*) AS n_rows, '{n}' AS \"column\", round(1 - count({n}) / count(*), 9) AS missing_share "
+        "FROM b GROUP BY block" for n in names
+    ]
+    return f"""WITH t AS (SELECT *, row_number() OVER (ORDER BY {order_by} NULLS LAST, {pattern}) - 1 AS i, count(*) OVER () AS n FROM ({source})),
+b AS (SELECT *, CAST(floor(i * {blocks} / n) AS BIGINT) AS block FROM t)
+{union(parts)}"""
+
+
 # --- checks, arrays, models --------------------------------------------------------------
 
 
@@ -366,6 +377,16 @@ c AS (SELECT score AS threshold, sum(n) OVER w / sum(n) OVER () AS fpr, sum(p) O
   FROM g WINDOW w AS (ORDER BY score DESC)
   UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0e0, 0e0)"""
 
+
+def thinned_sql(score: str) -> str:
+    return f"""WITH g AS (SELECT CAST({score} AS DOUBLE) AS score, count(*) FILTER (WHERE returned = 1) AS p, count(*) FILTER (WHERE returned = 0) AS n
+  FROM ({LINE_SCORES}) GROUP BY 1),
+c AS (SELECT score, p, n, lead(p) OVER w AS np, lead(n) OVER w AS nn, row_number() OVER w AS i,
+  sum(n) OVER w / sum(n) OVER () AS fpr, sum(p) OVER w / sum(p) OVER () AS tpr FROM g WINDOW w AS (ORDER BY score DESC))
+SELECT round(score, 9) AS threshold, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr FROM c WHERE i = 1 OR np IS NULL OR p <> np OR n <> nn
+UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0e0, 0e0"""
+
+
 EMBEDDING_WIDE = "SELECT " + ", ".join(
     f"CASE WHEN vec_id % {i + 2} <> 0 THEN CAST(embedding[{i + 1}] AS DOUBLE) + 5 END AS d{i}" for i in range(WIDE_COLUMNS)
 ) + " FROM embeddings"
@@ -436,6 +457,10 @@ SELECT bin, round(size, 6) AS mean_p_size, round(price, 6) AS mean_p_retailprice
         f"CASE WHEN {n} IS NULL THEN '1' ELSE '0' END" for n in LINES_COLUMNS
     ) + f") AS pattern, count(*) AS n_rows FROM ({LINES}) GROUP BY 1",
     "missing_blocks": blocks_sql(),
+    "missing_matrix": matrix_blocks_sql(LINES, [n for n in LINES_COLUMNS if n != "l_extendedprice"], "l_extendedprice", 40),
+    "missing_matrix_ties": matrix_blocks_sql(
+        "SELECT nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax, l_linenumber FROM lineitem", ["l_tax", "l_linenumber"], "l_discount", 17
+    ),
     "duplicate_rows": "SELECT text, lang, count(*) AS n_copies FROM documents GROUP BY text, lang HAVING count(*) > 1",
     "duplicate_rows_numbers": f"""SELECT l_linenumber, l_quantity, l_discount, l_tax, count(*) AS n_copies FROM ({LINES})
 GROUP BY ALL HAVING count(*) > 1""",
@@ -483,6 +508,8 @@ FROM ({LABEL_SPLIT}) GROUP BY split, quality""",
         "returned", "c",
     ) + ") ORDER BY roc_auc DESC, c LIMIT 1",
     "roc_curve": f"{CURVE} SELECT round(threshold, 9) AS threshold, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr FROM c",
+    "roc_curve_thinned": thinned_sql("score"),
+    "roc_curve_guess": thinned_sql("guess"),
     "trapezoid_auc": f"""{CURVE} SELECT round(sum((fpr - x) * (tpr + y) / 2), 9) AS auc
 FROM (SELECT fpr, tpr, lag(fpr) OVER w AS x, lag(tpr) OVER w AS y FROM c WINDOW w AS (ORDER BY fpr, tpr))""",
     "feature_table": "SELECT l_linenumber, l_quantity, l_extendedprice, l_discount FROM lineitem",

@@ -364,6 +364,18 @@ def missing_blocks(spark, folder):
     return rounded(blocks, 9, "missing_share")
 
 
+@query
+def missing_matrix(spark, folder):
+    return rounded(distribution.missing_matrix(lineitem_with_gaps(spark, folder), "l_extendedprice", 40), 9, "missing_share")
+
+
+@query
+def missing_matrix_ties(spark, folder):
+    """Few different numbers, some of them missing: blocks cut through rows that are equal."""
+    lines = lineitem_with_gaps(spark, folder).select("l_discount", "l_tax", "l_linenumber")
+    return rounded(distribution.missing_matrix(lines, "l_discount", 17), 9, "missing_share")
+
+
 # --- checks and grouping -----------------------------------------------------------------
 
 
@@ -648,6 +660,19 @@ def roc_curve(spark, folder):
     return rounded(curve, 9, "threshold", "fpr", "tpr")
 
 
+@query
+def roc_curve_thinned(spark, folder):
+    curve = metrics.roc_curve(scored_lines(spark, folder), "returned", "score", drop_intermediate=True)
+    return rounded(curve, 9, "threshold", "fpr", "tpr")
+
+
+@query
+def roc_curve_guess(spark, folder):
+    """The curve of hard predictions, as of the baseline: two scores and the start."""
+    curve = metrics.roc_curve(scored_lines(spark, folder), "returned", "guess", drop_intermediate=True)
+    return rounded(curve, 9, "fpr", "tpr")
+
+
 @query
 def trapezoid_auc(spark, folder):
     curve = metrics.roc_curve(scored_lines(spark, folder), "returned", "score")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions.binning import bin_column, bin_edge, equal_width_bin
 from tableprofile.functions.columns import col, fields, is_missing, numeric_columns, present
 from tableprofile.functions.small import null_safe_on, settle
+from tableprofile.operators.ordered import add_bucket, totals_above
 from tableprofile.operators.profile import column_facts
 from tableprofile.operators.quantiles import exact_quantiles
 
@@ -197,3 +198,43 @@ def missing_blocks(df: DataFrame, order_by: str, blocks: int = 100) -> DataFrame
         .orderBy("block", "ordinal")
         .select("block", "column", "n_rows", "missing_share")
     )
+
+
+def missing_matrix(df: DataFrame, order_by: str, blocks: int = 100) -> DataFrame:
+    """(block, first_row, n_rows, column, missing_share): the missing matrix by row position, in blocks of equal row count.
+
+    Rows are numbered from 0 in the order of a number, rows without it last, equal ones by their
+    pattern of missing columns; row i of n lies in block floor(i * blocks / n). With fewer rows than
+    blocks some blocks have no row and are left out.
+
+    Rows never travel one by one: equal rows (same number, same pattern) are counted inside the
+    tasks, and running totals of these counts, by bucket and then inside each bucket, tell which
+    positions and so which blocks they fill. A number that very many rows share is one row per
+    pattern.
+    """
+    names = [n for n in df.columns if n != order_by]
+    place = present(fields(df, [order_by])[0]).cast("double")
+    bits = [F.when(is_missing(df, name), F.lit("1")).otherwise(F.lit("0")) for name in names]
+    rows = df.select(place.alias("place"), F.concat(F.lit(""), *bits).alias("pattern"))
+    known = add_bucket(rows.where("place is not null"), "place").groupBy("bucket", "place", "pattern").agg(F.count(F.lit(1)).alias("c"))
+    ranked = totals_above(known, [], "place", "bucket", ["c"], ties=["pattern"])
+    ranked = ranked.select("pattern", "c", (F.col("c_total") - F.col("c_above") - F.col("c")).alias("before"))
+    # Rows without a place follow, one running total over as many rows as there are patterns of them.
+    lost = rows.where("place is null").groupBy("pattern").agg(F.count(F.lit(1)).alias("c"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("pattern").rowsBetween(Window.unboundedPreceding, -1)
+    n_known = df.select(place.alias("place")).agg(F.count("place")).scalar()
+    lost = lost.select("pattern", "c", (n_known + F.coalesce(F.sum("c").over(earlier), F.lit(0))).alias("before"))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    runs = ranked.unionByName(lost).withColumn("n", n).withColumn("until", F.col("before") + F.col("c"))
+    filled = runs.withColumn("block", F.explode(F.expr(f"sequence(before * {blocks} div n, (until - 1) * {blocks} div n)")))
+    # Block b holds the rows from ceil(b n / blocks) on.
+    start, stop = (F.expr(f"(({b}) * n + {blocks - 1}) div {blocks}") for b in ("block", "block + 1"))
+    share = F.least("until", stop) - F.greatest("before", start)
+    counted = filled.where(share > 0).groupBy("block", start.alias("first_row"), "pattern").agg(F.sum(share).alias("rows"))
+    marks = [F.sum(F.when(F.substring("pattern", i + 1, 1) == "1", F.col("rows")).otherwise(0)).alias(f"s{i}") for i in range(len(names))]
+    sums = counted.groupBy("block", "first_row").agg(F.sum("rows").alias("n_rows"), *marks)
+    cells = [c for i, name in enumerate(names) for c in (F.lit(i), F.lit(name), F.col(f"s{i}") / F.col("n_rows"))]
+    if not names:
+        return df.sparkSession.createDataFrame([], "block bigint, first_row bigint, n_rows bigint, column string, missing_share double")
+    shares = sums.select("block", "first_row", "n_rows", F.stack(F.lit(len(names)), *cells).alias("ordinal", "column", "missing_share"))
+    return shares.orderBy("block", "ordinal").select("block", "first_row", "n_rows", "column", "missing_share")

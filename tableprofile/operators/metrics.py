@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions.columns import col
-from tableprofile.operators.ordered import MAX_BUCKETS, add_bucket, totals_above
+from tableprofile.operators.ordered import MAX_BUCKETS, add_bucket, next_lower, totals_above
 
 
 def _safe_ratio(part: Column, whole: Column) -> Column:
@@ -127,12 +127,22 @@ def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) ->
     return areas.select(*[F.col(i).alias(k) for i, k in zip(inner, keys)], "roc_auc")
 
 
-def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = False) -> DataFrame:
     """(threshold, fpr, tpr) from the highest score down, after the start point (inf, 0, 0).
 
-    Every distinct score is a point. Rates are NULL where their class is absent.
+    Every distinct score is a point. With `drop_intermediate` a point goes if it lies on the straight
+    line through equal steps: its score brought as many positives and negatives as the next lower
+    score does. The highest and the lowest score stay; so does the area. Rates are NULL where their
+    class is absent.
     """
-    ranked = totals_above(_scored(df, label, score, []), [], "score", "bucket", ["p", "n"])
+    scored = _scored(df, label, score, [])
+    if drop_intermediate:
+        scored = next_lower(scored, "score", "bucket", ["p", "n"], "next")
+    ranked = totals_above(scored, [], "score", "bucket", ["p", "n"])
+    if drop_intermediate:
+        highest = F.col("p_above") + F.col("n_above") == 0
+        turns = (F.col("p") != F.col("next.p")) | (F.col("n") != F.col("next.n"))
+        ranked = ranked.where(highest | F.col("next").isNull() | turns)
     points = ranked.select(
         F.col("score").alias("threshold"),
         F.try_divide((F.col("n_above") + F.col("n")).cast("double"), F.col("n_total").cast("double")).alias("fpr"),

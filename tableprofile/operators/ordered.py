@@ -40,11 +40,13 @@ def add_bucket(df: DataFrame, value: str, bucket: str = "bucket") -> DataFrame:
     return ranged.withColumn(bucket, place * PARTS_OF_RANGE + part).drop("_range")
 
 
-def totals_above(df: DataFrame, keys: Sequence[str], value: str, bucket: str, sums: Sequence[str]) -> DataFrame:
+def totals_above(
+    df: DataFrame, keys: Sequence[str], value: str, bucket: str, sums: Sequence[str], ties: Sequence[str] = ()
+) -> DataFrame:
     """Add `<s>_above` and `<s>_total` for each s in sums, per group of keys.
 
-    df has one row per (keys, value) and a bucket column from `add_bucket`. Running totals go by
-    bucket first (at most MAX_BUCKETS rows a group) and then inside each bucket.
+    df has one row per (keys, value, ties) and a bucket column from `add_bucket`. Running totals go
+    by bucket first (at most MAX_BUCKETS rows a group) and then inside each bucket.
     """
     keys = list(keys)
     group = keys or [F.lit(0)]
@@ -56,7 +58,8 @@ def totals_above(df: DataFrame, keys: Sequence[str], value: str, bucket: str, su
         *[F.coalesce(F.sum(s).over(higher), F.lit(0)).alias(f"{s}_offset") for s in sums],
         *[F.sum(s).over(everything).alias(f"{s}_total") for s in sums],
     )
-    inside = Window.partitionBy(*keys, bucket).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    falling = [F.col(c).desc() for c in [value, *ties]]
+    inside = Window.partitionBy(*keys, bucket).orderBy(*falling).rowsBetween(Window.unboundedPreceding, -1)
     within = df.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"{s}_inside") for s in sums])
     # Without keys there are at most MAX_BUCKETS offsets.
     on = null_safe_on(within, offsets, [(k, f"o_{k}") for k in [*keys, bucket]])
@@ -66,3 +69,20 @@ def totals_above(df: DataFrame, keys: Sequence[str], value: str, bucket: str, su
         *[(F.col(f"{s}_offset") + F.col(f"{s}_inside")).alias(f"{s}_above") for s in sums],
         *[f"{s}_total" for s in sums],
     )
+
+
+def next_lower(df: DataFrame, value: str, bucket: str, columns: Sequence[str], name: str) -> DataFrame:
+    """Add `name`: struct of the columns of the row with the next lower value, NULL at the lowest.
+
+    df has one row per value and a bucket column from `add_bucket`. Inside a bucket the neighbour
+    is the next row; the lowest row of a bucket meets the highest one of the next bucket that has
+    rows. Only these highest rows, at most MAX_BUCKETS, are ever ordered together.
+    """
+    own = F.struct(*columns)
+    tops = df.groupBy(bucket).agg(F.max_by(own, F.col(value)).alias("_top"))
+    across = Window.partitionBy(F.lit(0)).orderBy(F.col(bucket).desc())
+    tops = tops.select(F.col(bucket).alias("_bucket"), F.lead("_top").over(across).alias("_beyond"))
+    inside = Window.partitionBy(bucket).orderBy(F.col(value).desc())
+    rows = df.withColumn("_inside", F.lead(own).over(inside))
+    joined = rows.join(F.broadcast(tops), F.col(bucket) == F.col("_bucket"))
+    return joined.withColumn(name, F.coalesce("_inside", "_beyond")).select(*df.columns, name)

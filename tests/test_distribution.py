@@ -32,6 +32,54 @@ def test_quantiles_with_brackets(spark, monkeypatch, shape):
     assert row["n"] == len(values)
 
 
+def watch_sorting(monkeypatch):
+    """Collects the rows of the largest range that is sorted."""
+    sizes, plain = [], Q._sorted
+    monkeypatch.setattr(Q, "_sorted", lambda rows, few, keys: sizes.append(few.agg(F.max("n")).first()[0]) or plain(rows, few, keys))
+    return sizes
+
+
+CLUSTERED = {
+    "two_far_clusters": lambda rng: np.where(rng.random(6000) < 0.5, rng.random(6000) * 1e-6, 1e9 + rng.random(6000)),
+    "nested_scales": lambda rng: 2.0 ** -(rng.random(6000) * 900),
+    "widest_range": lambda rng: np.concatenate([rng.random(3000), [-1.7e308, 1.7e308], 1e-300 * rng.random(3000)]),
+    "hot_value_in_a_cluster": lambda rng: np.concatenate([np.full(3000, 5.0), 5 + 1e-9 * rng.random(2500), [1e12]]),
+}
+
+
+@pytest.mark.parametrize("shape", sorted(CLUSTERED))
+def test_quantiles_of_clusters(spark, monkeypatch, shape):
+    """Ranges are cut again until at most 50 rows, or one value, are left; nothing larger is sorted."""
+    monkeypatch.setattr(Q, "SMALL_GROUP", 10)
+    sizes = watch_sorting(monkeypatch)
+    values = CLUSTERED[shape](np.random.default_rng(4))
+    df = numbers(spark, values).withColumn("g", F.lit(1))
+    row = Q.exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.75], ["a", "b", "c"], few_groups=True, sorted_rows=50).first()
+    np.testing.assert_allclose([row[n] for n in "abc"], np.percentile(values, [25, 50, 75]), rtol=1e-12)
+    assert all(n <= 50 for n in sizes)
+
+
+def test_quantiles_of_many_rows_in_two_clusters(spark, monkeypatch):
+    """Five million rows in two far clusters: no task sorts more than 20,000 of them."""
+    import duckdb
+
+    sizes = watch_sorting(monkeypatch)
+    side = F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.lit(1e7))
+    spread = F.pmod(F.col("id") * 48271, F.lit(2147483647)).cast("double") / F.lit(2147483647.0)
+    df = spark.range(5_000_000).select(F.lit(1).alias("g"), (side + spread * 1e-3).alias("x"))
+    row = Q.exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.75], ["a", "b", "c"], few_groups=True).first()
+    want = duckdb.sql("""SELECT quantile_cont(x, [0.25, 0.5, 0.75]) FROM (
+      SELECT CASE WHEN i % 3 = 0 THEN 0e0 ELSE 1e7 END + (i * 48271 % 2147483647) / 2147483647e0 * 1e-3 AS x FROM range(5000000) t(i))""").fetchall()[0][0]
+    assert [row[n] for n in "abc"] == pytest.approx(want, rel=1e-15)
+    assert sizes and sizes[0] <= Q.SORTED_ROWS
+
+
+def test_quantiles_of_infinities(spark):
+    df = numbers(spark, [float("-inf")] * 30 + [1.0, 2.0, 3.0] + [float("inf")] * 30).withColumn("g", F.lit(1))
+    row = Q.exact_quantiles(df, ["g"], "x", [0.1, 0.5, 0.9], ["a", "b", "c"], few_groups=True, sorted_rows=2).first()
+    assert (row["b"], row["n"]) == (2.0, 63)
+
+
 def test_quantiles_of_groups(spark, monkeypatch):
     monkeypatch.setattr(Q, "SMALL_GROUP", 1000)
     rng = np.random.default_rng(3)
@@ -138,3 +186,35 @@ def test_missing_matrix(spark, sample):
     blocks = [tuple(r) for r in D.missing_blocks(rows, "i", 4).collect()]
     assert [(b, share) for b, _, _, share in blocks] == [(0, 1.0), (1, 1.0), (2, 0.0), (3, 0.0)]
     assert sum(b[2] for b in blocks) == 100
+
+
+def brute_matrix(rows, blocks):
+    """rows: (place, values...) as tuples; the matrix laid out row by row."""
+    pattern = lambda r: "".join("1" if v is None or v != v else "0" for v in r[1:])
+    lost = lambda r: r[0] is None or r[0] != r[0]
+    laid = sorted(rows, key=lambda r: (lost(r), 0 if lost(r) else r[0], pattern(r)))
+    out = {}
+    for i, r in enumerate(laid):
+        first, n, missing = out.setdefault(i * blocks // len(laid), (i, 0, [0] * (len(r) - 1)))
+        out[i * blocks // len(laid)] = first, n + 1, [m + (p == "1") for m, p in zip(missing, pattern(r))]
+    return [(b, first, n, j, m / n) for b, (first, n, missing) in sorted(out.items()) for j, m in enumerate(missing)]
+
+
+@pytest.mark.parametrize("blocks", [1, 7, 100, 2500])
+def test_missing_matrix(spark, blocks):
+    """A third of all rows share one number, some have none, and there can be fewer rows than blocks."""
+    rows = [
+        (None if i % 11 == 0 else float("nan") if i % 11 == 1 else 5.0 if i % 3 == 0 else (i * 37 % 1000) / 8 - 20, None if i * 7919 % 10 < 3 else "x", float("nan") if i % 4 == 0 else 1.0)
+        for i in range(2000)
+    ]
+    df = spark.createDataFrame(rows, "place double, `a.b` string, c double").repartition(5)
+    got = D.missing_matrix(df, "place", blocks).collect()
+    names = ["a.b", "c"]
+    assert [(r["block"], r["first_row"], r["n_rows"], names.index(r["column"]), r["missing_share"]) for r in got] == brute_matrix(rows, blocks)
+
+
+def test_missing_matrix_edges(spark):
+    df = spark.createDataFrame([(None, None), (None, 1)], "place double, v int")
+    assert [tuple(r) for r in D.missing_matrix(df, "place", 2).collect()] == [(0, 0, 1, "v", 0.0), (1, 1, 1, "v", 1.0)]
+    assert D.missing_matrix(df.limit(0), "place").count() == 0
+    assert D.missing_matrix(df.select("place"), "place").count() == 0

@@ -39,6 +39,40 @@ def test_auc_and_curve(spark, ties):
     assert M.trapezoid_auc(curve).first()["auc"] == pytest.approx(area, abs=1e-12)
 
 
+def brute_thinned(y, s):
+    """Points of the curve whose cumulative counts have a second difference, besides the first and the last."""
+    cuts = np.unique(s)[::-1]
+    tps = np.array([((s >= c) & (y == 1)).sum() for c in cuts])
+    fps = np.array([((s >= c) & (y == 0)).sum() for c in cuts])
+    keep = np.ones(len(cuts), bool)
+    keep[1:-1] = (np.diff(fps, 2) != 0) | (np.diff(tps, 2) != 0)
+    return [(float("inf"), 0.0, 0.0), *zip(cuts[keep].tolist(), (fps[keep] / (y == 0).sum()).tolist(), (tps[keep] / (y == 1).sum()).tolist())]
+
+
+@pytest.mark.parametrize("ties", [True, False])
+def test_thinned_curve(spark, ties):
+    """Neighbours are found across buckets too, and the area stays."""
+    y, s, df = scores(spark, 4000, ties=ties)
+    whole, thin = M.roc_curve(df, "y", "s"), M.roc_curve(df, "y", "s", drop_intermediate=True)
+    rows = [tuple(r) for r in thin.collect()]
+    np.testing.assert_allclose(np.array(rows), np.array(brute_thinned(y, s)), rtol=1e-12)
+    assert ties or len(rows) < whole.count()
+    assert M.trapezoid_auc(thin).first()["auc"] == pytest.approx(M.trapezoid_auc(whole).first()["auc"], abs=1e-12)
+
+
+def test_thinned_runs(spark):
+    """Long straight runs keep their ends only; one score, two scores and no row at all."""
+    n = 3000
+    y, s = np.array([1] * n + [0] * n + [1]), np.arange(2 * n + 1)[::-1] / 7.0
+    df = spark.createDataFrame(list(zip(y.tolist(), s.tolist())), "y int, s double")
+    rows = [tuple(r) for r in M.roc_curve(df, "y", "s", drop_intermediate=True).collect()]
+    np.testing.assert_allclose(np.array(rows), np.array(brute_thinned(y, s)), rtol=1e-12)
+    assert len(rows) == 5
+    one = spark.createDataFrame([(1, 0.5), (0, 0.5)], "y int, s double")
+    assert [tuple(r) for r in M.roc_curve(one, "y", "s", drop_intermediate=True).collect()] == [(float("inf"), 0.0, 0.0), (0.5, 1.0, 1.0)]
+    assert M.roc_curve(one.limit(0), "y", "s", drop_intermediate=True).count() == 1
+
+
 def test_auc_edges(spark):
     one_class = spark.createDataFrame([(1, 0.1), (1, 0.2)], "y int, s double")
     assert M.roc_auc(one_class, "y", "s").first()["roc_auc"] is None
