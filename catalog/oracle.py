@@ -410,6 +410,9 @@ ORACLES: dict[str, str] = {
     "value_counts_numbers": f"SELECT l_tax AS value, count(*) AS count FROM ({LINES}) WHERE l_tax IS NOT NULL GROUP BY 1",
     "value_shares": "SELECT c_mktsegment AS value, count(*) AS count, round(count(*) / sum(count(*)) OVER () * 100, 9) AS share FROM customer GROUP BY 1",
     "top_categories": top_sql(["p_name", "p_brand", "p_type"], "part"),
+    "top_categories_heavy": top_sql(["p_name", "p_brand", "p_type"], "part"),
+    "value_counts_texts": "SELECT text AS value, count(*) AS count FROM documents WHERE text IS NOT NULL GROUP BY 1",
+    "distinct_values_texts": "SELECT DISTINCT text FROM documents",
     "distinct_values": "SELECT DISTINCT p_brand FROM part",
     "distinct_values_first_seen": "SELECT user_id, min(event_id) AS first_event FROM events GROUP BY user_id",
     "quality_flags": flags_sql(CUSTOMERS, CUSTOMER_COLUMNS, "SELECT * FROM flags"),

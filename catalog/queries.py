@@ -143,6 +143,23 @@ def top_categories_texts(spark, folder):
     return rounded(tops, 9, "share")
 
 
+@query
+def top_categories_heavy(spark, folder):
+    """Heavy-hitter counters: proven for the few brands, counted in full for names that hardly repeat."""
+    parts = table(spark, folder, "part").select("p_name", "p_brand", "p_type")
+    return rounded(frequency.top_categories(parts, counters=64), 9, "share")
+
+
+@query
+def value_counts_texts(spark, folder):
+    return frequency.value_counts(table(spark, folder, "documents"), "text")
+
+
+@query
+def distinct_values_texts(spark, folder):
+    return frequency.distinct_values(table(spark, folder, "documents"), "text")
+
+
 @query
 def distinct_values(spark, folder):
     return frequency.distinct_values(table(spark, folder, "part"), "p_brand")
