@@ -415,6 +415,8 @@ ORACLES: dict[str, str] = {
     "distinct_values_texts": "SELECT DISTINCT text FROM documents",
     "distinct_values": "SELECT DISTINCT p_brand FROM part",
     "distinct_values_first_seen": "SELECT user_id, min(event_id) AS first_event FROM events GROUP BY user_id",
+    "merged_summary": f"""SELECT * EXCLUDE ("unique"), "unique" <= 1 AS is_constant FROM ({summary_sql(LINES, LINES_COLUMNS, None)})""",
+    "merged_quality_flags": flags_sql(LINES, LINES_COLUMNS, "SELECT * FROM flags"),
     "quality_flags": flags_sql(CUSTOMERS, CUSTOMER_COLUMNS, "SELECT * FROM flags"),
     "quality_flags_from_summary": flags_sql(CUSTOMERS, CUSTOMER_COLUMNS, "SELECT * FROM flags"),
     "quality_verdict": flags_sql(LINES, LINES_COLUMNS, f"SELECT *, {VERDICT} FROM flags"),

@@ -12,7 +12,7 @@ from tableprofile.functions import arrays as A
 from tableprofile.functions.binning import bin_column
 from tableprofile.functions.columns import feature_columns, numeric_columns
 from tableprofile.functions.small import shared_folder
-from tableprofile.operators import checks, distribution, frequency, grouping, metrics, modeling, profile, quality, relations
+from tableprofile.operators import checks, distribution, frequency, grouping, metrics, modeling, profile, quality, relations, states
 from tableprofile.plans.report import missing_from_summary, report_metrics, write_report
 from tableprofile.sources.csv import read_csv, require_rows
 from tableprofile.streaming.scoring import scored_stream, write_scores
@@ -189,6 +189,27 @@ def quality_flags_from_summary(spark, folder):
     return _lists_as_text(quality.quality_flags_from_summary(summary))
 
 
+def line_states(spark, folder):
+    """States of the line items by line number: some stored, read back and merged, then merged with the rest."""
+    path = scratch(spark)
+    lines = lineitem_with_gaps(spark, folder)
+    states.write_states(states.profile_states(lines.where("l_linenumber <= 3"), F.col("l_linenumber")), path)
+    stored = states.merge_states(states.read_states(spark, path), "stored")
+    return states.merge_states(stored.unionByName(states.profile_states(lines.where("l_linenumber > 3"), F.col("l_linenumber"))))
+
+
+@query
+def merged_summary(spark, folder):
+    """Everything of a merged profile that is exact."""
+    found = states.state_summary(line_states(spark, folder)).drop("approx_unique", "approx_quantiles")
+    return rounded(found, 6, "missing_share", "mean", "std")
+
+
+@query
+def merged_quality_flags(spark, folder):
+    return _lists_as_text(states.state_flags(line_states(spark, folder)))
+
+
 @query
 def quality_verdict(spark, folder):
     return _lists_as_text(quality.quality_verdict(quality.quality_flags(lineitem_with_gaps(spark, folder))))
