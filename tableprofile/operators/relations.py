@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from tableprofile.functions.columns import clamp, col, fields, numeric_columns, present
 
 LONG_SCHEMA = "x_order int, column_x string, y_order int, column_y string, correlation double"
+# Columns on one side of a tile: a task holds ten numbers per pair of a tile, 5 MB, however wide the table is.
+TILE = 256
 MOMENTS = ["n", "mx", "my", "sxx", "syy", "sxy", "low_x", "high_x", "low_y", "high_y"]
 
 
@@ -41,22 +44,21 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None, min_co
     )
 
 
-def _moments(x: np.ndarray) -> np.ndarray:
-    """MOMENTS by width by width: counts, means, squares and products of deviations, and extremes, each over the rows of the pair."""
-    width = x.shape[1]
-    there = ~np.isnan(x)
-    out = np.zeros((len(MOMENTS), width, width))
+def _moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """MOMENTS by columns of x by columns of y: counts, means, squares and products of deviations, and extremes, each over the rows of the pair."""
+    there, there_y = ~np.isnan(x), ~np.isnan(y)
+    out = np.zeros((len(MOMENTS), x.shape[1], y.shape[1]))
     n, mx, my, sxx, syy, sxy, low, high, low_y, high_y = out
-    for j in range(width):
-        rows = there[:, j]
-        mask, part, y = there[rows], np.where(there[rows], x[rows], 0.0), x[rows, j][:, None]
+    for j in range(y.shape[1]):
+        rows = there_y[:, j]
+        mask, part, other = there[rows], np.where(there[rows], x[rows], 0.0), y[rows, j][:, None]
         count = mask.sum(axis=0)
         some = np.maximum(count, 1)
-        mean, mean_y = part.sum(axis=0) / some, np.where(mask, y, 0.0).sum(axis=0) / some
-        off, off_y = np.where(mask, part - mean, 0.0), np.where(mask, y - mean_y, 0.0)
+        mean, mean_y = part.sum(axis=0) / some, np.where(mask, other, 0.0).sum(axis=0) / some
+        off, off_y = np.where(mask, part - mean, 0.0), np.where(mask, other - mean_y, 0.0)
         n[:, j], mx[:, j], my[:, j] = count, mean, mean_y
         sxx[:, j], syy[:, j], sxy[:, j] = (off * off).sum(axis=0), (off_y * off_y).sum(axis=0), (off * off_y).sum(axis=0)
-        for values, lows, highs in ((part, low, high), (y, low_y, high_y)):
+        for values, lows, highs in ((part, low, high), (other, low_y, high_y)):
             lows[:, j] = np.where(mask, values, np.inf).min(axis=0, initial=np.inf)
             highs[:, j] = np.where(mask, values, -np.inf).max(axis=0, initial=-np.inf)
     return out
@@ -74,29 +76,39 @@ def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     ])
 
 
-def _pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(i, j, correlation) for i <= j in one scan.
-
-    Deviations are taken from the means of the pair's own rows, batch by batch, and merged by the
-    parallel variance formula, first in the task and then over tasks: a task hands over one row per
-    pair, whatever its number of input rows.
-    """
-    values = [present(f).cast("double") for f in fields(df, names)]
-    chosen = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
-    width = len(names)
+def _tile(values: DataFrame, first: range, second: range) -> DataFrame:
+    """(i, j, MOMENTS) for i in first, j in second, i <= j: one row per task and pair. Reads the columns of the tile only."""
+    same = first == second
+    chosen = values.select(*[f"v{i}" for i in [*first, *([] if same else second)]])
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         with np.errstate(invalid="ignore", over="ignore"):
             for batch in batches:
                 if len(batch):
-                    found = _moments(batch.to_numpy(dtype="float64", na_value=np.nan))
+                    x = batch.to_numpy(dtype="float64", na_value=np.nan)
+                    found = _moments(x[:, : len(first)], x if same else x[:, len(first) :])
                     total = found if total is None else _merged(total, found)
         if total is not None:
-            i, j = np.triu_indices(width)
-            yield pd.DataFrame({"i": i, "j": j, **{m: total[k][i, j] for k, m in enumerate(MOMENTS)}})
+            i, j = np.triu_indices(len(first)) if same else (k.ravel() for k in np.indices(total.shape[1:]))
+            yield pd.DataFrame({"i": i + first.start, "j": j + second.start, **{m: total[k][i, j] for k, m in enumerate(MOMENTS)}})
+
+    return chosen.mapInPandas(moments, "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS))
 
-    parts = chosen.mapInPandas(moments, "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS))
+
+def _pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(i, j, correlation) for i <= j, in one scan per tile of TILE by TILE columns.
+
+    Deviations are taken from the means of the pair's own rows, batch by batch, and merged by the
+    parallel variance formula, first in the task and then over tasks: a task hands over one row per
+    pair, whatever its number of input rows. A wide table is cut in blocks of columns; each pair of
+    blocks is a tile with tasks of its own, which read these columns only.
+    """
+    columns = [present(f).cast("double").alias(f"v{i}") for i, f in enumerate(fields(df, names))]
+    values, width = df.select(*columns), len(names)
+    blocks = [range(i, min(i + TILE, width)) for i in range(0, width, TILE)]
+    tiles = [_tile(values, a, b) for i, a in enumerate(blocks) for b in blocks[i:]]
+    parts = reduce(DataFrame.unionByName, tiles)
     # As many rows per pair as there are tasks.
     w = Window.partitionBy("i", "j")
     dx, dy = (F.col(m) - F.try_divide(F.sum(F.col("n") * F.col(m)).over(w), F.sum("n").over(w)) for m in ("mx", "my"))

@@ -74,3 +74,34 @@ def test_scatter(spark):
     df = spark.createDataFrame([(1, 2.0, "a"), (1, None, "a"), (3, 4.0, None)], "p int, r double, c string")
     assert [tuple(r) for r in R.scatter_points(df, "p", "r", "c").collect()] == [(1, 2.0, "a")]
     assert R.scatter_points(df.withColumn("r", F.lit(float("nan"))), "p", "r", "c").count() == 0
+
+
+@pytest.mark.parametrize("tile", [1, 4, 5, 11])
+def test_tiles(spark, monkeypatch, tile):
+    """The same numbers whatever the tile, also where the last block is smaller."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 11)) @ rng.normal(size=(11, 11)) + 100
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = 7.0
+    names = [f"c{i}" for i in range(11)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names)).repartition(3)
+    monkeypatch.setattr(R, "TILE", tile)
+    found = {(r["column_x"], r["column_y"]): r["correlation"] for r in R.correlation_long(df).collect()}
+    want = pd.DataFrame(x, columns=names).corr()
+    assert len(found) == 121
+    for (a, b), value in found.items():
+        assert value is None if "c3" in (a, b) else value == pytest.approx(want.loc[a, b], abs=1e-12)
+
+
+def test_wide_table_in_tiles_of_bounded_size(spark):
+    """2,000 columns: every tile reads at most two blocks of columns, so no task holds more than TILE by TILE pairs."""
+    width = 2000
+    df = spark.range(40, numPartitions=2).select(*[F.sin(F.col("id") * (i + 1)).alias(f"c{i}") for i in range(width)])
+    values = df.select(*[F.col(f"c{i}").alias(f"v{i}") for i in range(width)])
+    blocks = [range(i, min(i + R.TILE, width)) for i in range(0, width, R.TILE)]
+    last = R._tile(values, blocks[0], blocks[-1])
+    assert len(blocks) == 8 and last.count() == 2 * len(blocks[0]) * len(blocks[-1])
+    scanned = last._jdf.queryExecution().optimizedPlan().toString()
+    assert "v300" not in scanned and "v1999" in scanned
+    row = last.where("i = 5 and j = 1999").groupBy("i", "j").agg(F.sum("n").alias("n")).first()
+    assert row["n"] == 40
