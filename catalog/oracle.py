@@ -478,6 +478,13 @@ GROUP BY ALL HAVING count(*) > 1""",
     "head_rows": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5",
     "csv_round_trip": f"""SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey, nullif(c_mktsegment, 'MACHINERY') AS c_mktsegment)
 FROM ({CUSTOMERS})""",
+    "first_seen_in_files": """WITH f AS (
+  SELECT 'c_custkey' AS "column", CAST(c_custkey AS VARCHAR) AS value, min(c_custkey) AS seen FROM customer GROUP BY 2
+  UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR), min(c_custkey) FROM customer GROUP BY 2
+  UNION ALL SELECT 'c_mktsegment', c_mktsegment, min(c_custkey) FROM customer GROUP BY 2
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY seen) AS INTEGER) AS rank FROM f)
+SELECT "column", rank, value FROM r WHERE rank <= 3
+UNION ALL SELECT 'all segments', rank, value FROM r WHERE "column" = 'c_mktsegment'""",
     "report_metrics_facts": report_metrics_sql(),
     "missing_from_summary_rows": missing_sql(LINES, LINES_COLUMNS),
     "report_summary_file": f"""SELECT * EXCLUDE (ordinal) REPLACE (round(min, 6) AS min, round(max, 6) AS max)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions import arrays as A
@@ -483,6 +483,20 @@ def csv_round_trip(spark, folder):
     return read_csv(spark, path, sep=";")
 
 
+@query
+def first_seen_in_files(spark, folder):
+    """Examples and distinct values in the order of the files, which follow the customer number."""
+    path = scratch(spark)
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customers.repartitionByRange(6, "c_custkey").sortWithinPartitions("c_custkey").write.csv(path, header=True)
+    lines = read_csv(spark, path, schema="c_custkey int, c_nationkey int, c_mktsegment string", file_order="place")
+    examples = profile.example_values(lines, 3, order_by="place").where("column <> 'place'")
+    segments = frequency.distinct_values(lines, "c_mktsegment", order_by="place", place="at")
+    # As many rows as there are segments.
+    order = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("at"))
+    return examples.unionByName(segments.select(F.lit("all segments").alias("column"), order.alias("rank"), F.col("c_mktsegment").alias("value")))
+
+
 @query
 def report_metrics_facts(spark, folder):
     return report_metrics(customer_with_constant(spark, folder), source="customer", max_hist_columns=6, max_top_columns=5)

@@ -31,9 +31,13 @@ def read_csv(
     schema: T.StructType | str | None = None,
     na_tokens: Sequence[str] = NA_TOKENS,
     multi_line: bool = False,
+    file_order: str | None = None,
 ) -> DataFrame:
     """Read CSV files with a header line; ValueError if they are absent or unreadable.
 
+    `file_order` adds a column of that name by which rows sort as in the files read one after the
+    other in order of their paths; give it as `order_by` to the functions that look for first values.
+
     Without a schema the types are inferred in one aggregate over the whole input: int, bigint,
     double or boolean if every present value fits, else string; dates stay strings. Large inputs
     should come with a schema, which leaves a single lazy scan. `multi_line` admits line breaks
@@ -44,14 +48,31 @@ def read_csv(
     whole_files = multi_line or encoding.upper().startswith(("UTF-16", "UTF-32"))
     options = dict(header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=whole_files)
     try:
-        texts = _checked_lines(spark, path, options)
-        texts = texts.select(*[_without_tokens(name, na_tokens) for name in texts.columns])
+        lines = _checked_lines(spark, path, options)
+        if file_order in lines.columns:
+            raise ValueError(f"the files have a column {file_order}")
+        cleaned = [_without_tokens(name, na_tokens) for name in lines.columns]
+        texts = lines.select(*cleaned)
         types = _declared(texts, schema) if schema is not None else _inferred(texts)
-        return texts.select(*[_typed(col(n), t).alias(n) for n, t in types.items()])
+        place = [] if file_order is None else [place_in_files().alias(file_order)]
+        typed = [_typed(col(n), t).alias(n) for n, t in types.items()]
+        return lines.select(*cleaned, *place).select(*typed, *([col(file_order)] if place else []))
     except PySparkException as error:
         raise ValueError(f"cannot read CSV {path}: {error}") from error
 
 
+def place_in_files() -> Column:
+    """Where a row of a file scan stands: path, start of its block, and a number that grows inside the block.
+
+    Only for rows as they come from the scan, before any shuffle. Spark reads a block in one task from
+    its start to its end, so the running number of the task orders the rows of a block; how blocks are
+    dealt to tasks does not matter, and a task that runs again gives its rows the same order.
+    """
+    return F.struct(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+    )
+
+
 def _checked_lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
     """All columns as text; a line with more fields than the header stops the read.
 

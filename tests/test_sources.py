@@ -108,3 +108,41 @@ def test_report_files_of_an_empty_table(spark, tmp_path, empty):
     out = tmp_path / "report"
     write_report(empty, str(out))
     assert sorted(p.name for p in out.iterdir()) == ["report", "summary"]
+
+
+def test_file_order(spark, tmp_path):
+    """First-seen values of many files, cut in many blocks, are those of a sequential read."""
+    from tableprofile.operators.frequency import distinct_values
+    from tableprofile.operators.grouping import head_rows
+    from tableprofile.operators.profile import example_values
+
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    lines, n = [], 0
+    for name, size in (("b.csv", 900), ("a.csv", 40), ("c.csv", 2500), ("d.csv", 0)):
+        rows = [(f"word{(n + i) * 7919 % 611}", (n + i) * 31 % 97 - 50, f"{name} line {i} " + "x" * 60) for i in range(size)]
+        n += size
+        (folder / name).write_text("w,v,t\n" + "".join(f"{w},{v},{t}\n" for w, v, t in rows))
+        lines.append((name, rows))
+    want = [row for _, rows in sorted(lines) for row in rows]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        df = read_csv(spark, str(folder), schema="w string, v int, t string", file_order="place")
+        assert df.rdd.getNumPartitions() > 10
+        assert [tuple(r)[:3] for r in df.orderBy("place").collect()] == want
+        first = {}
+        for w, _, _ in want:
+            first.setdefault(w, None)
+        assert [r[0] for r in distinct_values(df, "w", order_by="place").collect()] == list(first)
+        assert [tuple(r)[:3] for r in head_rows(df, "place", 3).collect()] == want[:3]
+        found = example_values(df, 4, order_by="place").where("column <> 'place'").collect()
+        for i, c in enumerate(("w", "v", "t")):
+            seen = list(dict.fromkeys(str(row[i]) for row in want))[:4]
+            assert [r["value"] for r in sorted(found, key=lambda r: r["rank"]) if r["column"] == c] == seen
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    with pytest.raises(ValueError, match="have a column"):
+        read_csv(spark, str(folder), file_order="v")
