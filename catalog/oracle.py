@@ -431,6 +431,10 @@ FROM (SELECT *, {PROFILE_SCORE} AS quality_score FROM ({PROFILES}) WHERE {VALID}
     "score_profiles_stream": f"""SELECT c_custkey, round(quality_score, 9) AS quality_score, quality_score >= 7e-1 AS ok_for_model, {PROFILE_FLAGS_SQL}
 FROM (SELECT *, {PROFILE_SCORE} AS quality_score FROM (SELECT c_custkey, c_custkey AS n_rows, c_nationkey * 10 AS n_cols,
   c_acctbal / 10000 AS max_missing_share, c_custkey % 3 AS numeric_cols, c_custkey % 2 AS categorical_cols FROM customer) WHERE {VALID})""",
+    "latest_verdicts_stream": f"""SELECT 'nation ' || c_nationkey AS table_name, at_second, round(quality_score, 9) AS quality_score, quality_score >= 7e-1 AS ok_for_model
+FROM (SELECT *, {PROFILE_SCORE} AS quality_score FROM (SELECT c_nationkey, CAST(c_custkey AS BIGINT) AS at_second, c_custkey AS n_rows, c_nationkey * 10 AS n_cols,
+  c_acctbal / 10000 AS max_missing_share, c_custkey % 3 AS numeric_cols, c_custkey % 2 AS categorical_cols FROM customer) WHERE {VALID})
+QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY at_second DESC) = 1""",
     "correlation_long": correlation_sql(
         LINES.replace(" FROM lineitem", ", 1e0 AS l_constant FROM lineitem"), numeric(LINES_COLUMNS) + ["l_constant"]
     ),

@@ -15,6 +15,7 @@ from tableprofile.functions.small import shared_folder
 from tableprofile.operators import checks, distribution, frequency, grouping, metrics, modeling, profile, quality, relations, states
 from tableprofile.plans.report import missing_from_summary, report_metrics, write_report
 from tableprofile.sources.csv import read_csv, require_rows
+from tableprofile.streaming import verdicts
 from tableprofile.streaming.scoring import scored_stream, write_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -288,6 +289,22 @@ def score_profiles_stream(spark, folder):
     return rounded(scores.select("c_custkey", "quality_score", "ok_for_model", *[F.col("flags")[f].alias(f) for f in PROFILE_FLAGS]), 9, "quality_score")
 
 
+@query
+def latest_verdicts_stream(spark, folder):
+    """Profiles of every nation in two drops, the second one partly older than the first, worked off in two runs."""
+    base = scratch(spark)
+    profiles = customer_profiles(table(spark, folder, "customer")).select(
+        F.concat(F.lit("nation "), "c_nationkey").alias("table_name"), F.timestamp_seconds("c_custkey").alias("profiled_at"),
+        "n_rows", "n_cols", "max_missing_share", "numeric_cols", "categorical_cols",
+    )
+    for drop in (0, 1):
+        profiles.where(F.unix_seconds("profiled_at") % 2 == drop).write.mode("append").parquet(f"{base}/drops")
+        arrived = spark.readStream.schema(verdicts.DATED_SCHEMA).parquet(f"{base}/drops")
+        verdicts.write_verdicts(verdicts.newest_profiles(arrived, late="36500 days"), f"{base}/verdicts", f"{base}/progress").awaitTermination()
+    found = verdicts.current_verdicts(spark, f"{base}/verdicts")
+    return rounded(found.select("table_name", F.unix_seconds("profiled_at").alias("at_second"), "quality_score", "ok_for_model"), 9, "quality_score")
+
+
 # --- relations and distributions ---------------------------------------------------------
 
 

@@ -24,22 +24,22 @@ def spark():
 
 
 @pytest.fixture
-def sample(spark):
-    """Four people, one age and one city missing."""
-    rows = [(10.0, 140, "A"), (20.0, 150, "B"), (30.0, 160, "A"), (None, 170, None)]
-    return spark.createDataFrame(rows, "age double, height bigint, city string")
+def readings(spark):
+    """Weather stations; the temperature and the place of one are missing. Rain is twice the temperature plus four where both are there."""
+    rows = [(4.0, 12, "hill"), (8.0, 20, "hill"), (None, 31, None), (6.0, 16, "coast"), (2.0, 8, "hill")]
+    return spark.createDataFrame(rows, "temp double, rain bigint, place string")
 
 
 @pytest.fixture
-def with_constant(spark):
-    rows = [(1, "active", 10.5), (2, "active", 20.3), (3, "active", 15.1), (4, "active", 30.2), (5, "active", 25.4)]
-    return spark.createDataFrame(rows, "id bigint, status string, value double")
+def one_unit(spark):
+    """Six sensors that all report in the same unit."""
+    return spark.createDataFrame([(k, "celsius", k * k / 4) for k in range(1, 7)], "sensor bigint, unit string, level double")
 
 
 @pytest.fixture
-def high_cardinality(spark):
-    rows = [(i, f"cat_{min(i, 91)}", i * 1.5) for i in range(100)]
-    return spark.createDataFrame(rows, "id bigint, category string, value double")
+def mostly_distinct(spark):
+    """120 parcels with 110 different codes; the code of parcel 7 is on eleven of them."""
+    return spark.createDataFrame([(i, f"code {i if i < 110 else 7}", 0.5 + i / 8) for i in range(120)], "nr bigint, code string, weight double")
 
 
 @pytest.fixture

@@ -178,10 +178,10 @@ def test_bins(spark):
         bin_column(F.col("age"), [0, 1], ["a", "b"])
 
 
-def test_missing_matrix(spark, sample):
-    mask = [tuple(r) for r in D.missing_mask(sample).collect()]
-    assert mask == [(False, False, False)] * 3 + [(True, False, True)]
-    assert [tuple(r) for r in D.missing_patterns(sample).collect()] == [("000", 3), ("101", 1)]
+def test_missing_mask_patterns_and_blocks(spark, readings):
+    mask = [tuple(r) for r in D.missing_mask(readings).collect()]
+    assert mask == [(i == 2, False, i == 2) for i in range(5)]
+    assert [tuple(r) for r in D.missing_patterns(readings).collect()] == [("000", 4), ("101", 1)]
     rows = spark.range(100).select(F.col("id").alias("i"), F.when(F.col("id") >= 50, F.col("id")).alias("v"))
     blocks = [tuple(r) for r in D.missing_blocks(rows, "i", 4).collect()]
     assert [(b, share) for b, _, _, share in blocks] == [(0, 1.0), (1, 1.0), (2, 0.0), (3, 0.0)]

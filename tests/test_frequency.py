@@ -8,16 +8,16 @@ from tableprofile.functions import small
 from tableprofile.operators import frequency as Fr
 
 
-def test_top_categories_of_sample(sample):
-    rows = [tuple(r) for r in Fr.top_categories(sample, top_k=2).collect()]
-    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [("city", 1, "A", 2), ("city", 2, "B", 1)]
-    assert [r[4] for r in rows] == pytest.approx([2 / 3, 1 / 3])
+def test_top_categories_of_readings(readings):
+    rows = [tuple(r) for r in Fr.top_categories(readings, top_k=2).collect()]
+    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [("place", 1, "hill", 3), ("place", 2, "coast", 1)]
+    assert [r[4] for r in rows] == pytest.approx([0.75, 0.25])
 
 
-def test_share_is_over_the_kept_values(high_cardinality):
-    rows = Fr.top_categories(high_cardinality, top_k=2).collect()
-    assert (rows[0]["value"], rows[0]["count"]) == ("cat_91", 9)
-    assert rows[1]["value"] == "cat_0"
+def test_share_is_over_the_kept_values(mostly_distinct):
+    rows = Fr.top_categories(mostly_distinct, top_k=2).collect()
+    assert (rows[0]["value"], rows[0]["count"]) == ("code 7", 11)
+    assert rows[1]["value"] == "code 0"
     assert sum(r["share"] for r in rows) == pytest.approx(1.0)
 
 

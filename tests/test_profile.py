@@ -20,25 +20,25 @@ def by_name(df, key="name"):
     return {row[key]: row for row in df.collect()}
 
 
-def test_summary_of_sample(sample):
-    rows = by_name(P.column_summary(sample))
-    assert [r["name"] for r in P.column_summary(sample).collect()] == ["age", "height", "city"]
-    age, height, city = rows["age"], rows["height"], rows["city"]
-    assert (age["non_null"], age["missing"], age["missing_share"], age["unique"]) == (3, 1, 0.25, 3)
-    assert (age["min"], age["max"], age["mean"], age["std"]) == (10.0, 30.0, 20.0, 10.0)
-    assert (height["missing"], height["unique"], height["mean"]) == (0, 4, 155.0)
-    assert height["std"] == pytest.approx(12.909944487358056, abs=1e-12)
-    assert (city["dtype"], city["unique"], city["is_numeric"], city["mean"]) == ("string", 2, False, None)
-    assert sorted(city["example_values"]) == ["A", "B"]
-    assert height["example_values"] == ["140", "150", "160"]
-
-
-def test_profile_and_schema(sample):
-    assert P.dataset_profile(sample).first().asDict() == {"n_rows": 4, "n_cols": 3}
-    assert [tuple(r) for r in P.schema_table(sample).collect()] == [
-        (0, "age", "double", 3), (1, "height", "bigint", 4), (2, "city", "string", 3),
+def test_summary_of_readings(readings):
+    rows = by_name(P.column_summary(readings))
+    assert list(rows) == ["temp", "rain", "place"]
+    temp, rain, place = rows["temp"], rows["rain"], rows["place"]
+    assert (temp["non_null"], temp["missing"], temp["missing_share"], temp["unique"]) == (4, 1, 0.2, 4)
+    assert (temp["min"], temp["max"], temp["mean"], temp["std"]) == (2.0, 8.0, 5.0, pytest.approx((20 / 3) ** 0.5, abs=1e-12))
+    assert (rain["missing"], rain["unique"], rain["mean"]) == (0, 5, 17.4)
+    assert rain["std"] == pytest.approx(77.8**0.5, abs=1e-12)
+    assert (place["dtype"], place["unique"], place["is_numeric"], place["mean"]) == ("string", 2, False, None)
+    assert sorted(place["example_values"]) == ["coast", "hill"]
+    assert rain["example_values"] == ["8", "12", "16"]
+
+
+def test_profile_and_schema(readings):
+    assert P.dataset_profile(readings).first().asDict() == {"n_rows": 5, "n_cols": 3}
+    assert [tuple(r) for r in P.schema_table(readings).collect()] == [
+        (0, "temp", "double", 4), (1, "rain", "bigint", 5), (2, "place", "string", 4),
     ]
-    assert "example_values" not in P.flatten_summary(P.column_summary(sample)).columns
+    assert "example_values" not in P.flatten_summary(P.column_summary(readings)).columns
 
 
 def test_examples_in_order_of_appearance(spark):
@@ -120,12 +120,12 @@ def test_many_columns_in_several_aggregates(spark):
     assert P.missing_table(df).count() == 230
 
 
-def test_missing_table(spark, sample):
-    rows = [tuple(r) for r in P.missing_table(sample).collect()]
-    assert rows == [("age", 1, 0.25), ("city", 1, 0.25), ("height", 0, 0.0)]
-    assert [tuple(r) for r in P.missing_share(sample).collect()] == [("age", 0.25), ("height", 0.0), ("city", 0.25)]
-    assert [r["column"] for r in P.problem_columns(sample, 0.25).collect()] == ["age", "city"]
-    assert P.problem_columns(sample).count() == 0
+def test_missing_table(spark, readings):
+    rows = [tuple(r) for r in P.missing_table(readings).collect()]
+    assert rows == [("temp", 1, 0.2), ("place", 1, 0.2), ("rain", 0, 0.0)]
+    assert [tuple(r) for r in P.missing_share(readings).collect()] == [("temp", 0.2), ("rain", 0.0), ("place", 0.2)]
+    assert [r["column"] for r in P.problem_columns(readings, 0.2).collect()] == ["temp", "place"]
+    assert P.problem_columns(readings).count() == 0
     nan = spark.createDataFrame([(math.nan, 1.0), (2.0, math.nan), (None, math.nan)], "x double, y double")
     assert {r["column"]: r["missing_count"] for r in P.missing_table(nan).collect()} == {"x": 2, "y": 2}
     assert nan.where(is_missing(nan, "x")).count() == 2

@@ -6,30 +6,30 @@ from tableprofile.operators import quality as Q
 from tableprofile.plans.report import missing_from_summary
 
 
-def test_sample_flags(sample):
-    flags = Q.quality_flags(sample).first()
-    assert (flags["n_rows"], flags["n_cols"], flags["max_missing_share"]) == (4, 3, 0.25)
+def test_flags_of_readings(readings):
+    flags = Q.quality_flags(readings).first()
+    assert (flags["n_rows"], flags["n_cols"], flags["max_missing_share"]) == (5, 3, 0.2)
     assert flags["too_few_rows"] and not flags["too_many_columns"] and not flags["too_many_missing"]
     assert not flags["has_constant_columns"] and not flags["has_high_cardinality_categoricals"]
-    assert flags["quality_score"] == pytest.approx(0.55, abs=1e-12)
-    assert not Q.quality_verdict(Q.quality_flags(sample)).first()["ok_for_model"]
+    assert flags["quality_score"] == pytest.approx(0.6, abs=1e-12)
+    assert not Q.quality_verdict(Q.quality_flags(readings)).first()["ok_for_model"]
 
 
-def test_constant_column_sits_on_the_limit(with_constant):
-    verdict = Q.quality_verdict(Q.quality_flags(with_constant)).first()
-    assert verdict["constant_columns_list"] == ["status"]
+def test_constant_column_sits_on_the_limit(one_unit):
+    verdict = Q.quality_verdict(Q.quality_flags(one_unit)).first()
+    assert verdict["constant_columns_list"] == ["unit"]
     assert verdict["quality_score"] == 0.7000000000000001
     assert verdict["ok_for_model"] and verdict["message"] == Q.READY
 
 
-def test_high_cardinality(high_cardinality):
-    flags = Q.quality_flags(high_cardinality).first()
-    assert flags["high_cardinality_categoricals"] == ["category"]
+def test_mostly_distinct_text(mostly_distinct):
+    flags = Q.quality_flags(mostly_distinct).first()
+    assert flags["high_cardinality_categoricals"] == ["code"]
     assert not flags["too_few_rows"]
     assert flags["quality_score"] == pytest.approx(0.85, abs=1e-12)
 
 
-@pytest.mark.parametrize("fixture", ["sample", "with_constant", "high_cardinality", "empty"])
+@pytest.mark.parametrize("fixture", ["readings", "one_unit", "mostly_distinct", "empty"])
 def test_both_ways_to_the_flags_agree(request, fixture):
     df = request.getfixturevalue(fixture)
     assert Q.quality_flags(df).first() == Q.quality_flags_from_summary(P.column_summary(df)).first()
@@ -52,15 +52,15 @@ def test_long_texts_are_told_apart(spark):
     assert Q.quality_flags(df).first()["high_cardinality_categoricals"] == ["t"]
 
 
-def test_report_and_boolean_flags(sample):
-    report = Q.quality_report(sample).first()
+def test_report_and_boolean_flags(readings):
+    report = Q.quality_report(readings).first()
     assert report["flags"]["too_few_rows"] is True and len(report["flags"]) == 5
-    assert Q.boolean_flags(Q.quality_flags(sample)).first()["flags"] == report["flags"]
+    assert Q.boolean_flags(Q.quality_flags(readings)).first()["flags"] == report["flags"]
     assert 0.0 <= report["quality_score"] <= 1.0
 
 
-def test_missing_from_summary(sample):
-    assert missing_from_summary(P.column_summary(sample)).collect() == P.missing_table(sample).collect()
+def test_missing_from_summary(readings):
+    assert missing_from_summary(P.column_summary(readings)).collect() == P.missing_table(readings).collect()
 
 
 PROFILES = [

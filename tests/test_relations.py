@@ -11,10 +11,10 @@ def wide(df):
     return matrix
 
 
-def test_sample(sample):
-    matrix = wide(sample)
-    assert list(matrix.columns) == ["age", "height"]
-    assert matrix.loc["age", "height"] == pytest.approx(1.0)
+def test_readings(readings):
+    matrix = wide(readings)
+    assert list(matrix.columns) == ["temp", "rain"]
+    assert matrix.loc["temp", "rain"] == pytest.approx(1.0)
 
 
 @pytest.mark.parametrize("offset", [0.0, 1e4, 1e5, 1e6, 1e7])
