@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,7 @@ class Vocabulary:
             else:
                 self.normal.append((piece, i, model.get_score(i)))
                 self.text.append(piece.replace(SPACE, " ").encode())
+        self.key = hashlib.sha256(repr((self.normal, self.bytes, self.unknown, self.text)).encode()).hexdigest()
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _, _ in self.normal):
             raise ValueError("a piece crosses the start of a word; words cannot be encoded one by one")
         if SPACE not in {p for p, _, _ in self.normal}:
@@ -48,12 +49,14 @@ class Vocabulary:
 
 
 class Encoder:
-    """One per task: the automaton, and the segmentations of short words met so far."""
+    """The automaton, and the segmentations of short words met of late: at most max_words (some 300 bytes each), the older half going when the younger is full."""
 
-    def __init__(self, vocabulary: Vocabulary, max_words: int = 30_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, max_words: int = 300_000) -> None:
         import ahocorasick
 
-        self.v, self.max_words, self.seen = vocabulary, max_words, {}
+        self.v, self.half = vocabulary, max(1, max_words // 2)
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, i, score in vocabulary.normal:
             self.automaton.add_word(piece, (len(piece), i, score))
@@ -67,19 +70,19 @@ class Encoder:
         state and the shorter ones by output links, and each may better the best sum up to that end.
         A character may always be spelt in bytes (without byte pieces: as unknown).
         """
-        n = len(word)
-        best, last = [0.0] * (n + 1), [(1, -1)] * (n + 1)
+        n, fallback, unknown = len(word), self.fallback, (1, -1, 0.0)
+        best, last = [0.0] * (n + 1), [unknown] * (n + 1)
         reached = 0
-        for end, (length, i, score) in self.automaton.iter(word):
+        for end, piece in self.automaton.iter(word):
             while reached <= end:  # ends up to here can be reached by one unknown character
                 reached += 1
-                best[reached], last[reached] = best[reached - 1] + self.fallback, (1, -1)
-            total = best[end + 1 - length] + score
+                best[reached] = best[reached - 1] + fallback
+            total = best[end + 1 - piece[0]] + piece[2]
             if total > best[end + 1]:
-                best[end + 1], last[end + 1] = total, (length, i)
+                best[end + 1], last[end + 1] = total, piece
         out: list[int] = []
         while n:
-            length, i = last[n]
+            length, i, _ = last[n]
             if i >= 0:
                 out.append(i)
             else:
@@ -92,32 +95,55 @@ class Encoder:
         ids = [self.v.bytes[b] for b in reversed(char.encode())]
         return ids if min(ids) >= 0 else [self.v.unknown]
 
-    def word(self, word: str) -> tuple[int, ...]:
-        found = self.seen.get(word)
+    def word(self, word: str) -> tuple[bytes, bytes]:
+        """Ids of a word, as the bytes of 32-bit numbers, and the bytes that they decode to."""
+        found = self.young.get(word)
         if found is None:
-            found = self.segment(word)
+            found = self.old.get(word)
+            if found is None:
+                found = self.coded(self.segment(word))
             if len(word) <= 64:
-                if len(self.seen) >= self.max_words:
-                    self.seen.clear()
-                self.seen[word] = found
+                if len(self.young) >= self.half:
+                    self.old, self.young = self.young, {}
+                self.young[word] = found
         return found
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text; a space is put before it. A mark of the vocabulary inside the text is spelt in bytes."""
+    def coded(self, ids: Sequence[int]) -> tuple[bytes, bytes]:
+        return array("i", ids).tobytes(), b"".join(map(self.v.text.__getitem__, ids))
+
+    def both(self, text: str) -> tuple[np.ndarray, bytes]:
+        """Ids of a text, and the bytes that they decode to.
+
+        A space is put before the text. A mark of the vocabulary inside the text is spelt in bytes.
+        """
         if not text:
-            return []
-        out: list[int] = []
+            return np.zeros(0, np.int32), b""
+        found: list[tuple[bytes, bytes]] = []
         for at, part in enumerate(text.split(SPACE)):
             if at:
-                out.extend(reversed(self.spelt(SPACE)))
+                found.append(self.coded(self.spelt(SPACE)[::-1]))
             marked = (SPACE if at == 0 else "") + part.replace(" ", SPACE)
-            out.extend(chain.from_iterable(map(self.word, CHUNK.findall(marked))))
-        return out
+            found.extend(map(self.word, CHUNK.findall(marked)))
+        return np.frombuffer(b"".join([ids for ids, _ in found]), np.int32), b"".join([decoded for _, decoded in found])[1:]
+
+    def encode(self, text: str) -> list[int]:
+        return self.both(text)[0].tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.v.text.__getitem__, ids))[1:]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this Python worker, kept from task to task; one vocabulary at a time."""
+    if vocabulary.key not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary.key] = Encoder(vocabulary)
+    return _encoders[vocabulary.key]
+
+
 def encoded(docs: DataFrame, model_file: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of every whole text, and what they decode to.
 
@@ -131,15 +157,14 @@ def encoded(docs: DataFrame, model_file: str, id: str = "doc_id", text: str = "t
     vocabulary = Vocabulary(model_file)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids, digests, exact = [], [], []
                 for value in part.column(1).to_pylist():
-                    found = encoder.encode(value)
-                    back = encoder.decode(found)
-                    ids.append(np.array(found, np.int32))
+                    found, back = encoder.both(value)
+                    ids.append(found)
                     digests.append(hashlib.sha256(back).hexdigest())
                     exact.append(back == value.encode())
                 yield pa.RecordBatch.from_arrays(

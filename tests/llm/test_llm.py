@@ -270,6 +270,15 @@ def test_pieces_brute_force(spark, edge):
         assert sums + unknown * encoder.fallback == pytest.approx(best(word)), rest
     for text in ("", " ", "a b  c", "▁", " ▁▁ x", "\U0001F600\n\tq", "<0x41> </s>"):
         assert encoder.decode(encoder.encode(text)).decode() == text
+    # Whole texts, scored as one string; the words of a text are met again after the cache has turned over.
+    tiny = pieces.Encoder(vocabulary, max_words=2)
+    for text in ("the best  way to say it is the way", "Verantwortung zé中 für x\n\ty the the", "a " * 60 + "  b"):
+        ids = encoder.encode(text)
+        assert tiny.encode(text) == ids and tiny.both(text)[1].decode() == text
+        known = sum(len(name[i]) for i in ids if i in name)
+        marked = "▁" + text.replace(" ", "▁")
+        total = sum(score[name[i]] for i in ids if i in name) + (len(marked) - known) * encoder.fallback
+        assert total == pytest.approx(best(marked))
     rows = pieces.encoded(edge, MODEL_FILE).collect()
     assert len(rows) == len(EDGE) and all(r["exact"] for r in rows) and [r["n_tokens"] for r in rows if r["doc_id"] == 2] == [0]
     assert pieces.encoded(edge.limit(0), MODEL_FILE).collect() == []
