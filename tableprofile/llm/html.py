@@ -35,47 +35,60 @@ BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
+# Start tags that end open elements, and the elements beyond which they do not reach.
+IMPLIED = {
+    "li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+    "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",)), "body": (("body", "head"), ()),
+}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-OUTSIDE = frozenset("nav footer aside form button head menu dialog fieldset".split())
-OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
+OUTSIDE = frozenset("nav footer aside button head menu dialog fieldset".split())
+OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus "
-    "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
+    "footer gdpr hidden login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted "
     "recommended related replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 NO_MARK, MAIN, ARTICLE = 0, 1, 2
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z))""", re.S)
-NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+FORM_VOTES = 2
 
 
-def outside(tag: str, attributes: str, marked: bool) -> bool:
+def attributes_of(said: str) -> dict[str, str]:
+    """The attributes of a tag by lower-case name; of repeated ones the first counts."""
+    out: dict[str, str] = {}
+    for name, *value in ATTRIBUTE.findall(said):
+        out.setdefault(name.lower(), "".join(value))
+    return out
+
+
+def outside(tag: str, attributes: dict[str, str], marked: bool) -> bool:
     """Whether an element cannot hold text of the article, by its tag, role or because it is hidden."""
     if tag in OUTSIDE or tag == "header" and not marked:
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
-    if any(kind.lower() == "role" and "".join(found).lower().strip() in OUTSIDE_ROLES for kind, *found in NAMES.findall(attributes)):
+    if attributes.get("role", "").lower().strip() in OUTSIDE_ROLES or "hidden" in attributes:
         return True
-    return ("hidden" in attributes.lower() or "none" in attributes) and bool(HIDDEN.search(attributes))
+    return bool(UNSEEN.search(attributes.get("style", "")))
 
 
-def hints(tag: str, attributes: str, mark: int) -> int:
-    """How much the classes and the id of an element speak against it: 2 for a name that is one of the words, 1 for one that contains it.
+def hints(tag: str, attributes: dict[str, str], mark: int) -> int:
+    """How much the classes and the id of an element speak against it: 2 for a name that is one of the words, 1 for one that contains it, 2 for a form.
 
     The id of a heading or of an element in an article says what it is about, so it does not count.
     """
+    votes = FORM_VOTES if tag == "form" or attributes.get("role", "").lower().strip() == "form" else 0
     if not attributes or tag in ("html", "body", "main"):
-        return 0
-    votes = 0
-    for kind, *found in NAMES.findall(attributes):
-        kind = kind.lower()
-        if kind == "role" or kind == "id" and (mark == ARTICLE or tag in HEADINGS):
-            continue
-        for name in "".join(found).lower().split():
-            parts = re.split(r"[^a-z]+", name)
-            if parts[0] not in ("no", "has", "with") and (not OUTSIDE_NAMES.isdisjoint(parts) or "header" in parts and not mark and tag != "article"):
-                votes += 2 if len(parts) == 1 else 1
+        return votes
+    said = attributes.get("class", "")
+    if mark != ARTICLE and tag not in HEADINGS:
+        said += " " + attributes.get("id", "")
+    for name in said.lower().split():
+        parts = re.split(r"[^a-z]+", name)
+        if parts[0] not in ("no", "has", "with") and (not OUTSIDE_NAMES.isdisjoint(parts) or "header" in parts and not mark and tag != "article"):
+            votes += 2 if len(parts) == 1 else 1
     return votes
 
 
@@ -87,14 +100,27 @@ class Block(NamedTuple):
     region: int  # number of the innermost article or main, 0 without
     heading: bool
     stops: float  # share of stop words of a block that is not short nor outside, 0 of others
-    hinted: tuple[tuple[int, int], ...]  # number and votes of the elements around it whose names speak against them
+    hinted: int  # number of the innermost element around it whose names speak against it, 0 without
+
+
+class Hinted(NamedTuple):
+    """An element whose names speak against it; its parent is the next such element around it."""
+
+    parent: int
+    votes: int
 
 
-def blocks(html: str) -> list[Block]:
-    """The text blocks of a page in order."""
+def blocks(html: str) -> tuple[list[Block], list[Hinted]]:
+    """The text blocks of a page in order, and the elements whose names speak against them, from number 1, parents first.
+
+    Every tag costs the same at any depth: open elements are found by name, not by walking the stack.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool, int, int, tuple[tuple[int, int], ...]]] = []  # tag, outside, mark, region, hinted
-    regions = elements = 0
+    against = [Hinted(0, 0)]
+    stack: list[tuple[str, bool, int, int, int]] = []  # tag, outside, mark, region, hinted
+    opened: dict[str, list[int]] = {}  # places in the stack by tag
+    opened_blocks: list[int] = []  # places of block elements
+    regions = 0
     text: list[str] = []
     linked = links = 0
     heading = False
@@ -103,15 +129,22 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked, heading
         words = " ".join(unescape("".join(text)).split())
         if words:
-            top = stack[-1] if stack else ("", False, 0, 0, ())
+            top = stack[-1] if stack else ("", False, 0, 0, 0)
             out.append(Block(words, linked, *top[1:4], heading, 0 if top[1] or length(words) < SHORT else stop_share(words), top[4]))
         text.clear()
         linked, heading = 0, False
 
+    def last(*names: str) -> int:
+        return max((opened[x][-1] for x in names if opened.get(x)), default=-1)
+
     def close(to: int) -> None:
         nonlocal links
-        links -= sum(e[0] == "a" for e in stack[to:])
-        del stack[to:]
+        while len(stack) > to:
+            tag = stack.pop()[0]
+            opened[tag].pop()
+            if tag in BLOCK:
+                opened_blocks.pop()
+            links -= tag == "a"
 
     at, n = 0, len(html)
     while at < n:
@@ -133,13 +166,11 @@ def blocks(html: str) -> list[Block]:
             continue
         if name in BLOCK or name in RAW:
             flush()
+        innermost = opened_blocks[-1] if opened_blocks else -1
         if ends:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i)
-                    break
-                if name not in BLOCK and stack[i][0] in BLOCK:  # an inline end tag does not close a block
-                    break
+            found = last(name)
+            if found >= 0 and (name in BLOCK or found > innermost):  # an inline end tag does not close a block
+                close(found)
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?![\w-])[^>]*>?", re.I).search(html, at)
@@ -148,27 +179,31 @@ def blocks(html: str) -> list[Block]:
         if name in VOID:
             continue
         if name in BLOCK:
-            implied = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "body": ()}.get(name)
-            for i in range(len(stack) - 1, -1, -1):
-                open_ = stack[i][0]
-                if open_ == "p" or implied is not None and (open_ == name or {open_, name} in ({"dt", "dd"}, {"td", "th"}, {"head", "body"})):
-                    close(i)
-                    break
-                if open_ in BLOCK and (implied is None or open_ in implied):
-                    break
-        _, bad, mark, region, hinted = stack[-1] if stack else ("", False, 0, 0, ())
+            if name in IMPLIED:
+                same, around = IMPLIED[name]
+                limit = last(*around)
+                found = last(*same) if last(*same) > limit else last("p")
+                if found > limit:
+                    close(found)
+            elif innermost >= 0 and stack[innermost][0] == "p":
+                close(innermost)
+        _, bad, mark, region, hinted = stack[-1] if stack else ("", False, 0, 0, 0)
+        attributes = attributes_of(tag[4]) if tag[4] else {}
         if name in ("article", "main"):
             regions += 1
             mark, region = max(mark, 2 if name == "article" else 1), regions
-        votes = hints(name, tag[4], mark)
+        votes = hints(name, attributes, mark)
         if votes:
-            elements += 1
-            hinted += ((elements, votes),)
-        stack.append((name, bad or outside(name, tag[4], mark > 0), mark, region, hinted))
+            against.append(Hinted(hinted, votes))
+            hinted = len(against) - 1
+        opened.setdefault(name, []).append(len(stack))
+        if name in BLOCK:
+            opened_blocks.append(len(stack))
+        stack.append((name, bad or outside(name, attributes, mark > 0), mark, region, hinted))
         links += name == "a"
         heading = heading or name in HEADINGS
     flush()
-    return out
+    return out, against
 
 
 SHORT, LONG = 70, 200
@@ -197,35 +232,37 @@ def good_text(b: Block) -> float:
     return length(b.text) if b.stops >= FEW_STOPS else length(b.text) / 2
 
 
-def ruled_out(found: list[Block]) -> list[Block]:
-    """Blocks in elements whose names speak against them are outside, unless the text of the element outweighs its names.
+def ruled_out(found: list[Block], against: list[Hinted]) -> list[Block]:
+    """Blocks in elements whose names speak against them, or in forms, are outside, unless the text of the element outweighs its names.
 
     An element with over 200 characters and half of the good text of the page is never ruled out; text that is long, with
     few links and many stop words, takes away one vote, and votes that are left rule the element out.
     """
-    if not any(b.hinted for b in found):
+    if len(against) == 1:
         return found
+    held = [[0, 0, 0.0] for _ in against]  # characters, inside links, good text
     page = 0.0
-    held: dict[int, list[float]] = {}  # characters, inside links, good text
     for b in found:
         good = good_text(b)
         page += good
         if not b.outside:
-            for element, _ in b.hinted:
-                sums = held.setdefault(element, [0, 0, 0])
-                for i, n in enumerate((len(b.text), b.linked, good)):
-                    sums[i] += n
-
-    def out(element: int, votes: int) -> bool:
+            for i, n in enumerate((len(b.text), b.linked, good)):
+                held[b.hinted][i] += n
+    out = [False] * len(against)
+    for element in range(len(against) - 1, 0, -1):  # inner elements first
+        for i, n in enumerate(held[element]):
+            if against[element].parent:
+                held[against[element].parent][i] += n
+    for element in range(1, len(against)):
         size, linked, good = held[element]
-        if good > LONG and 2 * good >= page:
-            return False
-        return votes > (size > LONG and linked <= MANY_LINKS[NO_MARK] * size and good > size / 2)
-
-    return [b._replace(outside=b.outside or any(out(*h) for h in b.hinted)) for b in found]
+        parent, votes = against[element]
+        weighs = good > LONG and 2 * good >= page
+        long = size > LONG and linked <= MANY_LINKS[NO_MARK] * size and good > size / 2
+        out[element] = out[parent] or not weighs and votes > long
+    return [b._replace(outside=b.outside or out[b.hinted]) for b in found]
 
 
-def classified(found: list[Block]) -> list[bool]:
+def classified(found: list[Block], against: list[Hinted]) -> list[bool]:
     """Which blocks are main text.
 
     A mark (article, main) counts only where its blocks hold at least as much good text, by length,
@@ -242,7 +279,7 @@ def classified(found: list[Block]) -> list[bool]:
     are neighbours, without outside elements; beyond its ends lies a good one for an article, and for
     main unless it has a good block of its own.
     """
-    found = ruled_out(found)
+    found = ruled_out(found, against)
     merit = [good_text(b) for b in found]
     listed = 4 * sum(m for m, b in zip(merit, found) if m and b.stops >= FEW_STOPS) >= sum(merit)
     held = [sum(m for m, b in zip(merit, found) if b.mark == mark) for mark in (NO_MARK, MAIN, ARTICLE)]
@@ -295,8 +332,8 @@ def classified(found: list[Block]) -> list[bool]:
 
 
 def main_text(html: str) -> str:
-    found = blocks(html)
-    return " ".join(b.text for b, good in zip(found, classified(found)) if good)
+    found, against = blocks(html)
+    return " ".join(b.text for b, good in zip(found, classified(found, against)) if good)
 
 
 def extracted(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
