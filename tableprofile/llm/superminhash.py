@@ -134,6 +134,13 @@ def _live(placed: DataFrame) -> DataFrame:
     return saved(sizes.where("low < high").select("bucket", "size"))
 
 
+def _distinct_buckets(members: DataFrame) -> DataFrame:
+    """(bucket, size, pivot) of the buckets with several members; of buckets with the same members, told by two 64-bit sums, one stays."""
+    marks = [F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"), *marks).where("size > 1")
+    return saved(shared.groupBy("size", "pivot", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "size", "pivot"))
+
+
 def near_groups(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, rows: int = 4,
     miss: float = 1e-7, sigmas: float = 6.0,
@@ -148,7 +155,9 @@ def near_groups(
 
     Equal sets are one representative from the start. Candidates agree in a band of `rows` signature
     values; there are as many bands as it takes that a pair on the threshold is missed with a
-    probability of at most `miss`. No bucket is expanded into all pairs: each first compares
+    probability of at most `miss`. A candidate must also agree in as many signature values as the
+    threshold makes likely, less `sigmas` standard deviations: at six, one pair on the threshold in
+    10 ** 9 is lost by that. Buckets with the same members are one. No bucket is expanded into all pairs: each first compares
     its members with its smallest one, and what a round links is one component, never compared
     again. Buckets that still hold several components compare with 4, 64, ... members until every
     member has been compared or joined; the parities of the sets tell, without error, most pairs that
@@ -165,8 +174,7 @@ def near_groups(
     )
     sizes = reps.select("rep", "n", "sig")
     members = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = saved(members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).where("size > 1"))
-    buckets = saved(members.join(shared, "bucket"))
+    buckets = saved(members.join(_distinct_buckets(members), "bucket"))
     k = bands * rows
     floor = max(1, int(k * percent / 100 - sigmas * (k * percent / 100 * (1 - percent / 100)) ** 0.5))
 
@@ -177,17 +185,20 @@ def near_groups(
     pairs = saved(buckets.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
     likely = _likely(pairs, sizes, percent, floor)
     links = _linked(likely, sets_of(likely.select(F.col("a").alias("id")).union(likely.select("b"))), percent)
-    checked, pool, take = pairs, buckets.where("size > 2").select("bucket", "rep"), 4
+    checked, take = pairs, 4
+    pool = saved(buckets.where("size > 2").groupBy("rep").agg(F.collect_list("bucket").alias("buckets")))  # at most one bucket per band
     while True:
         joined = components(links)
         n_joined = joined.count()
-        placed = saved(pool.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("c")))
+        named = pool.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left")
+        placed = saved(named.select(F.explode("buckets").alias("bucket"), "rep", F.coalesce("component", "rep").alias("c")))
         live = _live(placed)
         most = live.agg(F.max("size")).first()[0]
         if most is None:
             break
-        rest = saved(placed.join(small(live), "bucket"))
-        rest = saved(rest.join(reps.select("rep", "n", "odd"), "rep"))
+        kept = placed.join(small(live), "bucket").groupBy("rep", "c").agg(F.collect_list(F.struct("bucket", "size")).alias("in"))
+        kept = saved(kept.join(reps.select("rep", "n", "odd"), "rep"))  # one row a member, whatever the number of its buckets
+        rest = kept.select("rep", "c", "n", "odd", F.explode("in").alias("in")).select("in.*", "rep", "c", "n", "odd")
         chance = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(1 << 20)
         first = rest.where((chance < F.lit(take) / F.col("size")) | F.lit(take >= most))
         first = first.select("bucket", F.col("rep").alias("p"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("odd").alias("podd"))
@@ -201,7 +212,7 @@ def near_groups(
             joined = components(links)
             n_joined = joined.count()
             break
-        pool, take = rest.select("bucket", "rep"), take * 16
+        pool, take = kept.select("rep", F.col("in.bucket").alias("buckets")), take * 16
     named = reps.join(small(joined, n_joined), F.col("rep") == F.col("id"), "left").select("key", F.coalesce("component", "rep").alias("component"), "rep", "copies")
     named = saved(named.where("copies > 1 or component <> rep").select(F.col("key").alias("k"), "component"))
     out = drawn.join(named, F.col("key") == F.col("k"), "left")
