@@ -46,8 +46,8 @@ def op2_suffix_dedup(spark, folder):
 
 @query
 def op3_language_id(spark, folder):
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    out = predicted(table(spark, folder, "documents"), ~F.coalesce(held_out, F.lit(False)))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    out = predicted(table(spark, folder, "documents"), ~held_out)
     return out.select("doc_id", held_out.alias("held_out"), "language.lang_pred", F.round("language.score", 9).alias("score"))
 
 

@@ -62,7 +62,8 @@ def _kth(rows: DataFrame, queries: tuple[np.ndarray, np.ndarray], k: int) -> np.
 
     Every pass counts, per query, the scores in 1,024 bins of its range and goes on with the bin that
     holds the k-th. A task sends the bins down to the one that holds its own k-th score; the rest
-    cannot hold the k-th of all. So a task sends at most k counts per query.
+    cannot hold the k-th of all. So a task sends at most k counts per query, and the driver gets one
+    row per query, the bin that holds its k-th score.
     """
     ids, q = queries
     n = len(ids)
@@ -75,15 +76,11 @@ def _kth(rows: DataFrame, queries: tuple[np.ndarray, np.ndarray], k: int) -> np.
         span = high.astype(object) - low.astype(object)
         width = np.array([max(1, -(-(int(s) + 1) // BINS)) for s in span], np.int64)
         state = (low.copy(), high.copy(), width, want.copy(), open_.copy())
-        found = rows.mapInArrow(lambda b, s=state: _histogram(b, queries, s), "query int, bin int, n long").groupBy("query", "bin").agg(F.sum("n").alias("n"))
+        found = rows.mapInArrow(lambda b, s=state: _histogram(b, queries, s), "query int, bin int, n long, want long")
+        found = found.groupBy("query", "bin").agg(F.sum("n").alias("n"), F.min("want").alias("want"))
         w = Window.partitionBy("query").orderBy(F.desc("bin"))
-        found = found.withColumn("above", F.sum("n").over(w) - F.col("n"))
-        at = {}
-        for i, b, m, above in found.select("query", "bin", "n", "above").collect():
-            reached = above < want[i]
-            if reached and (i not in at or b < at[i][0]):
-                at[i] = (b, m, above)
-        for i, (b, m, above) in at.items():
+        found = found.withColumn("above", F.sum("n").over(w) - F.col("n")).where("above < want")
+        for i, b, m, above in found.groupBy("query").agg(F.min("bin"), F.min_by("n", "bin"), F.min_by("above", "bin")).collect():
             top = min(int(high[i]), int(low[i]) + (b + 1) * int(width[i]) - 1)
             low[i], high[i] = int(low[i]) + b * int(width[i]), top
             want[i] = min(want[i] - above, m)
@@ -115,7 +112,7 @@ def _histogram(batches, queries, state):
     total = total.reshape(len(rows), BINS)
     from_top = np.cumsum(total[:, ::-1], axis=1)[:, ::-1] - total  # scores in higher bins
     i, j = np.nonzero((total > 0) & (from_top < want[:, None]))
-    yield pa.RecordBatch.from_pydict({"query": pa.array(rows[i], pa.int32()), "bin": pa.array(j, pa.int32()), "n": pa.array(total[i, j])})
+    yield pa.RecordBatch.from_pydict({"query": pa.array(rows[i], pa.int32()), "bin": pa.array(j, pa.int32()), "n": pa.array(total[i, j]), "want": pa.array(want[i])})
 
 
 def _best(batches, queries, least, k):
@@ -136,7 +133,7 @@ def _best(batches, queries, least, k):
         yield pa.RecordBatch.from_pydict({"query_id": pa.array(ids[i], pa.int64()), "vec_id": pa.array(c, pa.int64()), "score": pa.array(s, pa.int64())})
 
 
-def top_k(df: DataFrame, every: int = 100, k: int = 10, id: str = "vec_id", vector: str = "embedding", scale: int = 1024, block_bytes: int = 8 << 20) -> DataFrame:
+def top_k(df: DataFrame, every: int = 100, k: int = 10, id: str = "vec_id", vector: str = "embedding", scale: int = 1024, block_bytes: int = 64 << 20) -> DataFrame:
     """The k best rows for every row whose id is divisible by `every`.
 
     Score: inner product of floor(scale * x); a shorter vector counts as padded with zeros. Returns
@@ -145,8 +142,8 @@ def top_k(df: DataFrame, every: int = 100, k: int = 10, id: str = "vec_id", vect
     ids each row is a candidate, the one of longest, then largest vector is the query. Components and
     scores beyond a long are held at its limits. An empty table gives no rows.
 
-    Queries are taken in blocks of bounded bytes, by a hash of the id; one block at a time travels to
-    all candidates, which are never shuffled. Per block: the range of scores, then histograms that
+    Queries are taken in blocks by a hash of the id, so that their vectors and histograms take some
+    block_bytes in a task; one block at a time travels to all candidates, which are never shuffled. Per block: the range of scores, then histograms that
     close in on the k-th score of each query, then a filter and the order of what passed.
     """
     spark = df.sparkSession
@@ -155,7 +152,7 @@ def top_k(df: DataFrame, every: int = 100, k: int = 10, id: str = "vec_id", vect
     n = stated.count()
     longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
     schema = "query_id long, vec_id long, score long"
-    blocks = max(1, -(-n * 8 * max(longest, 1) // block_bytes))
+    blocks = max(1, min(n, -(-n * 8 * (longest + 3 * BINS) // block_bytes)))  # the histogram, its running totals and what is left out
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     spark.createDataFrame([], schema).write.parquet(path)
     for block in range(blocks if n else 0):

@@ -155,6 +155,56 @@ def test_language_held_out(spark):
     assert len(rows) > 20 and np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95 and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def exact_shares(learnt: list[tuple[str, str]], text: str, share: float = 0.3) -> dict[str, float]:
+    """Share of the trigrams of a text in the exact set of each language."""
+
+    def grams(t):
+        framed = [" " if not c.isalpha() else c for c in f" {t.lower()} "]
+        return ["".join(framed[i - 1 : i + 2]) for i in range(1, len(framed) - 1) if framed[i] != " "]
+
+    if not hasattr(exact_shares, "sets"):
+        rates = {}
+        for lang in {x for x, _ in learnt}:
+            found = [g for x, t in learnt if x == lang for g in grams(t)]
+            for g in found:
+                rates.setdefault(g, {}).setdefault(lang, 0)
+                rates[g][lang] += 1 / len(found)
+        exact_shares.sets = {x: {g for g, r in rates.items() if r.get(x, 0) >= share * max(r.values())} for x, _ in learnt}
+    mine = grams(text)
+    return {x: sum(g in s for g in mine) / len(mine) for x, s in exact_shares.sets.items()} if mine else {}
+
+
+@pytest.mark.parametrize("max_cells", [1 << 22, 1 << 14])
+def test_language_brute_force(spark, max_cells):
+    """Filters of one part and of several parts agree with exact sets."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang", "text")
+    rows = [r for r in docs.collect() if r["text"]]
+    learnt = [(r["lang"], r["text"]) for r in rows if r["lang"] is not None]
+    got = {r["doc_id"]: r["language"] for r in langid.predicted(docs, F.lit(True), max_cells=max_cells).collect()}
+    assert len(got) == docs.count()
+    for r in rows:
+        want = exact_shares(learnt, r["text"])
+        found = got[r["doc_id"]]
+        if not want:
+            assert found["lang_pred"] == "und"
+            continue
+        assert max(want.values()) - want[found["lang_pred"]] < 0.02 and abs(found["score"] - max(want.values())) < 0.02
+
+
+def test_language_ties_and_parts(spark, edge):
+    rows = [(i, x, "the same words here", 1) for i, x in enumerate(("b", "a", "c"))] + [(None, "b", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string, key long")
+    for cells in (1 << 22, 1 << 12):
+        got = langid.predicted(docs, F.lit(True), max_cells=cells).collect()
+        assert sorted(r["language"]["lang_pred"] for r in got) == ["a", "a", "a", "und"] and {r["key"] for r in got} == {1}
+    many = spark.createDataFrame([(i, f"l{i % 70:02}", "".join(chr(97 + (i * 7 + j * j) % 26) for j in range(200))) for i in range(140)], "doc_id long, lang string, text string")
+    parts = list(langid.learn(many.select("lang", "text"), max_cells=1 << 13))
+    assert len(parts) > 1 and parts[0].cells.shape == (1 << 12, 2) and [p.part for p in parts] == list(range(parts[0].parts))
+    whole = {r["doc_id"]: r["language"] for r in langid.predicted(many, F.lit(True)).collect()}
+    for r in langid.predicted(many, F.lit(True), max_cells=1 << 13).collect():
+        assert abs(r["language"]["score"] - whole[r["doc_id"]]["score"]) < 0.02
+
+
 def test_language_edges(spark, edge):
     got = {r["doc_id"]: r["language"] for r in langid.predicted(edge, F.lit(True)).collect()}
     assert got[2]["lang_pred"] == got[3]["lang_pred"] == got[7]["lang_pred"] == "und" and got[1]["lang_pred"] == "en"
@@ -183,6 +233,27 @@ def test_top_k_ties_and_few(spark):
     assert best == [500, 501, 502, 503, 0, 1]
 
 
+def test_top_k_repeated_ids(spark):
+    rows = [(0, [1.0]), (0, [1.0, 2.0]), (0, [1.0, 3.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, None)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == 0) == [(1, 7, 4 << 20), (2, 7, 4 << 20)]
+
+
+def test_top_k_brute_force_in_blocks(spark):
+    rng = np.random.default_rng(11)
+    vectors = np.concatenate([rng.integers(-3, 4, (500, 5)) / 2, np.repeat(rng.integers(-3, 4, (1, 5)) / 2, 200, 0)])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(7)
+    whole = np.floor(vectors * 1024).astype(np.int64)
+    for size in (64 << 20, 60_000):
+        got = {}
+        for r in topk.top_k(frame, every=50, k=12, block_bytes=size).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        for q in range(0, 700, 50):
+            score = whole @ whole[q]
+            order = [i for i in np.lexsort((np.arange(700), -score)) if i != q][:12]
+            assert sorted(got[q]) == [(n + 1, i, score[i]) for n, i in enumerate(order)]
+
+
 def test_html():
     page = (
         "<html><head><title>T</title></head><body class='has-sidebar'><nav><a href='/'>Home</a></nav><div class=\"ad\">Buy</div><article><h1>A &amp; B</h1>"
