@@ -1,13 +1,15 @@
-"""Repeated byte strings by suffix sorting over a difference cover."""
+"""Repeated byte strings by suffix sorting over a difference cover, in slices of the strings."""
 
 from __future__ import annotations
 
 import hashlib
+import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.llm import textbytes as T
@@ -17,6 +19,9 @@ U = np.uint64
 LENGTH = 100  # bytes of a string that counts
 GRAM = 36  # bytes of the window hashes that find where repeats can be
 SPAN = LENGTH - GRAM + 1
+SLICE = 1_000_000  # bytes that are sorted together, about
+PLACES = 500  # of a mark in one part, about
+WIDEST = 256  # starts of one record
 CUT = 4  # one of so many changes of the smallest hash ends a block, some 130 bytes apart
 
 
@@ -87,48 +92,170 @@ def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
         yield x.values.to_numpy() if x.is_valid else np.zeros(0, np.int64)
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sampled positions of every stretch in which strings may repeat, with triples of two-byte characters.
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings that may repeat, by the smallest window hash inside them.
 
-    A stretch holds neighbouring starts and the bytes of their strings; positions count from its
-    start, and those that are not a multiple of 3 are the sample. k1, k2, k3: the 6 bytes at the
-    position, 6 and 12 bytes on. around: the bytes at -2, -1, 96, 97 and 99, which complete the
-    prefixes of length 100 of this position and of the two before it.
+    A record holds neighbouring starts whose strings have the same smallest hash, its mark, and the
+    bytes of these strings. Where a mark has many places, `part` spreads its records at random.
     """
+    names = ["mark", "part", "parts", "id", "start", "n", "bytes"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 7, types)], names=names)
+
+    rows = []
     for b in batches:
-        known = zip(_lists(b.column(2)), _lists(b.column(3)), _lists(b.column(4)))
-        for row, (data, (marks, starts, ends)) in enumerate(zip(values(b.column(1)), known)):
+        known = zip(b.column(0).to_pylist(), *map(_lists, b.columns[2:6]))
+        for data, (id, marks, parts, starts, ends) in zip(values(b.column(1)), known):
+            if not len(marks):
+                continue
             least = window_minima(data)[1].view(np.int64)
-            for first, end in zip(*_spans(np.isin(least, marks) & ~_covered(len(least), starts, ends))):
-                part = data[first : end + LENGTH - 1].astype(np.int64)
-                n = len(part)
-                six = np.zeros(n - 5, np.int64)
-                for i in range(6):
-                    six = (six << 8) | part[i : n - 5 + i]
-                j = np.arange(n - 17)
-                j = j[j % 3 > 0]
-                padded = np.concatenate([[0, 0], part, np.zeros(LENGTH, np.int64)])
-                around = np.zeros(len(j), np.int64)
-                for shift in (-2, -1, 96, 97, 99):
-                    around = (around << 8) | padded[j + 2 + shift]
-                for cut in range(0, len(j), 100_000):
-                    k = j[cut : cut + 100_000]
-                    yield pa.RecordBatch.from_pydict({
-                        "id": pa.array(np.full(len(k), b.column(0)[row].as_py()), pa.int64()), "stretch": pa.array(np.full(len(k), first), pa.int32()),
-                        "at": pa.array(k, pa.int32()), "starts": pa.array(np.full(len(k), end - first), pa.int32()),
-                        "around": around[cut : cut + 100_000], "k1": six[k], "k2": six[k + 6], "k3": six[k + 12],
-                    })
-
-
-def _named(rows: DataFrame, kept: list[str]) -> DataFrame:
-    """rows with `name` in place of (k1, k2, k3): the triples in sorted order are numbered, equal ones once."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = rows.select("k1", "k2", "k3").distinct().repartitionByRange(n, "k1", "k2", "k3").sortWithinPartitions("k1", "k2", "k3")
-    names = saved(keys.withColumn("name", F.monotonically_increasing_id()))  # grows with partition and row, so with the order
-    return rows.join(names, ["k1", "k2", "k3"]).select(*kept, "name")
-
-
-def repeated_starts(texts: DataFrame) -> DataFrame:
+            order = np.argsort(marks)
+            marks, parts = marks[order], parts[order]
+            at = np.minimum(np.searchsorted(marks, least), len(marks) - 1)
+            wanted = (marks[at] == least) & ~_covered(len(least), starts, ends)
+            edge = np.flatnonzero((wanted[1:] != wanted[:-1]) | (least[1:] != least[:-1])) + 1
+            firsts = np.concatenate([[0], edge])
+            ends = np.concatenate([edge, [len(least)]])
+            for k in np.flatnonzero(wanted[firsts]):
+                mark, p = int(least[firsts[k]]), int(parts[at[firsts[k]]])
+                for first in range(int(firsts[k]), int(ends[k]), WIDEST):
+                    n = min(WIDEST, int(ends[k]) - first)
+                    piece = data[first : first + n + LENGTH - 1].tobytes()
+                    part = hash((id, first, zlib.crc32(piece))) % p if p > 1 else 0
+                    rows.append((mark, part, p, id, first, n, piece))
+            if len(rows) > 10_000:
+                yield batch(rows)
+                rows = []
+    yield batch(rows)
+
+
+def _named(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, int]:
+    """The number of each triple (a, b, c) in sorted order from 1 on, equal ones once, and how many there are."""
+    if max(int(x.max(initial=0)) for x in (a, b, c)) >= 1 << 21:
+        a, b = np.unique(a << 32 | b, return_inverse=True)[1], np.int64(0)
+        key = a << 32 | c
+    else:
+        key = a << 42 | b << 21 | c
+    unique, name = np.unique(key, return_inverse=True)
+    return name + 1, len(unique)
+
+
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """The starts of all suffixes of a text of numbers from 1 to 2 ** 31 - 1, in sorted order.
+
+    The difference cover modulo 3: triples at the positions that are not a multiple of 3 are sorted
+    and named; while names repeat, the order of the string of names is found in the same way. The
+    suffixes at multiples of 3 follow from their first number and the rank after it, and are merged
+    with the others by one or two numbers and the rank that comes next in both.
+    """
+    n = len(text)
+    if n < 2:
+        return np.arange(n)
+    padded = np.concatenate([text, np.zeros(3, np.int64)])
+    # With n % 3 == 1 the end itself is a sampled position, so that the names of one residue end with a triple of their own.
+    sample = np.concatenate([np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)])
+    names, kinds = _named(padded[sample], padded[sample + 1], padded[sample + 2])
+    if kinds < len(sample):
+        sample = sample[suffix_order(names)]
+    else:
+        sample = sample[np.argsort(names)]
+    rank = np.zeros(n + 3, np.int64)
+    rank[sample] = np.arange(1, len(sample) + 1)
+    sample = sample[sample < n]
+    rest = np.arange(0, n, 3)
+    rest = rest[np.lexsort((rank[rest + 1], padded[rest]))]
+    # Merge: how many sampled suffixes of each residue come before each of the others.
+    ones, twos = sample[sample % 3 == 1], sample[sample % 3 == 2]
+    name, _ = _named(*(np.concatenate([x, y]) for x, y in [(padded[ones], padded[rest]), (rank[ones + 1], rank[rest + 1]), (np.zeros(len(ones), np.int64), np.zeros(len(rest), np.int64))]))
+    before = np.searchsorted(name[: len(ones)], name[len(ones) :])
+    name, _ = _named(*(np.concatenate([x[twos], x[rest]]) for x in (padded, padded[1:], rank[2:])))
+    before += np.searchsorted(name[: len(twos)], name[len(twos) :])
+    out = np.empty(n, np.int64)
+    place = np.arange(len(rest)) + before
+    out[place] = rest
+    free = np.ones(n, bool)
+    free[place] = False
+    out[free] = sample
+    return out
+
+
+def _compared(rows: list[tuple]) -> Iterator[tuple]:
+    """(id, start, end, digest) of the records (parts, id, start, n, bytes) of one slice.
+
+    Without a digest: a range of starts whose strings start earlier in the slice. With one: the
+    first place in the slice of a string whose mark has further parts, by the digest of the string.
+    """
+    rows.sort(key=lambda row: row[1:3])
+    seen: dict[bytes, tuple] = {}
+    for _, id, start, n, piece in rows:  # of equal records the first one stays
+        if piece not in seen:
+            seen[piece] = (id, start)
+        elif (id, start) > seen[piece]:
+            yield id, start, start + n, None
+    stay = [row for row in rows if seen.get(row[4]) == row[1:3]]
+    stay = list({row[4]: row for row in stay}.values())
+    ids, starts, counts = (np.array([row[i] for row in stay], np.int64) for i in (1, 2, 3))
+    split = np.array([row[0] > 1 for row in stay], bool)
+    data = np.frombuffer(b"\0".join(row[4] for row in stay) + bytes(8), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(row[4]) + 1 for row in stay])])
+    text = data[: offsets[-1]].astype(np.int64) + len(stay) + 1
+    text[offsets[1:] - 1] = np.arange(1, len(stay) + 1)  # a number of its own ends each record
+    offsets = offsets[:-1]
+    record = np.repeat(np.arange(len(stay)), counts)
+    place = np.arange(len(record)) - np.repeat(np.cumsum(counts) - counts, counts)
+    wanted = np.full(len(text), -1, np.int64)
+    wanted[offsets[record] + place] = np.arange(len(record))
+    order = suffix_order(text)
+    order = order[wanted[order] >= 0]
+    # Adjacent prefixes, eight bytes at a time.
+    eight = np.ascontiguousarray(np.ndarray(len(data) - 7, "<u8", data, strides=(1,)))
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for i in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        word = eight[order + i]
+        new[1:] |= word[1:] != word[:-1]
+    begin = np.flatnonzero(new)
+    item = wanted[order]
+    _, number = np.unique(ids, return_inverse=True)
+    key = (number[record] << 32 | (starts[record] + place))[item]
+    least = np.repeat(np.minimum.reduceat(key, begin), np.diff(np.append(begin, len(key))))
+    later = np.zeros(len(text), bool)
+    later[order[key > least]] = True
+    for first, end in zip(*_spans(later)):
+        r = np.searchsorted(offsets, first, "right") - 1
+        start = int(starts[r] + first - offsets[r])
+        yield int(ids[r]), start, start + int(end - first), None
+    r = record[item]
+    for at in np.flatnonzero((key == least) & split[r]).tolist():
+        i = int(order[at])
+        yield int(ids[r[at]]), int(starts[r[at]] + i - offsets[r[at]]), None, hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest()
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What _compared says of records sorted by mark and part, in slices of whole parts of about SLICE bytes."""
+    names, types = ["id", "start", "end", "digest"], [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def told(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        found = _compared(rows)
+        while some := list(itertools.islice(found, 20_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*some), types)], names=names)
+
+    rows, size, last = [], 0, None
+    for b in batches:
+        for mark, part, *row in zip(*(c.to_pylist() for c in b.columns)):
+            if size > SLICE and (mark, part) != last:
+                yield from told(rows)
+                rows, size = [], 0
+            last = mark, part
+            rows.append(tuple(row))
+            size += len(row[-1])
+    if rows:
+        yield from told(rows)
+
+
+def repeated_starts(texts: DataFrame, places: int = PLACES) -> DataFrame:
     """(id, start, end): ranges of the starts of every 100-byte string that also starts earlier, at a smaller id or in the same text before.
 
     texts: (id long, text binary of at least 100 bytes), ids and texts distinct.
@@ -136,13 +263,14 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     Equal strings need one representative only. Texts are cut in blocks by their own bytes; of equal
     blocks the first one stays, and all starts of the others repeat. The first place of any string
     lies in a block that stays, so the strings of these blocks decide about all of their own.
-    Where can those repeat? Equal strings contain the same smallest 36-byte hash. Only starts whose
-    smallest hash occurs at a second place go on; no repeat is lost, and most text is left out.
-    Of those positions the ones that are not a multiple of 3 are sampled. Their triples are sorted
-    and named; the names form triples again (18, then 54 bytes), until two names and a byte tell
-    prefixes of 100 bytes apart. For any two positions one of the shifts 0, 1 and 2 leads both into
-    the sample: the remaining positions merge by the bytes before the sampled position they are
-    shifted to. Equal prefixes are then neighbours, and each is compared with the first of them.
+    Where can those repeat? Equal strings contain the same smallest 36-byte hash, their mark. Only
+    starts whose mark occurs at a second place go on; no repeat is lost, and most text is left out.
+    Spark deals them by mark, so that equal strings meet in one slice, and each slice is sorted by
+    its suffixes (`suffix_order`: sampled triples, recursion on names, merge of the others); suffixes
+    with equal prefixes of 100 bytes are then neighbours, which are compared byte by byte.
+
+    A mark with more than `places` places is dealt over several parts. Each part is sorted as before
+    and sends the first place of each of its strings, by digest; Spark takes the first of all parts.
     """
     blocks = saved(texts.mapInArrow(_blocks, "id long, start int, end int, digest binary, marks array<long>, places array<int>"))
     first = blocks.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n"))
@@ -152,35 +280,19 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     later = saved(placed.where("later").select("id", "start", "end"))
     each = placed.where("not later").select("id", F.explode(F.arrays_zip("marks", "places")).alias("m")).select("id", F.col("m.marks").alias("mark"), F.col("m.places").alias("place"))
     place = F.struct("id", "place")
-    again = saved(each.groupBy("mark").agg((F.min(place) < F.max(place)).alias("again")).where("again").select("mark"))
-    own = each.join(small(again), "mark").groupBy("id").agg(F.collect_set("mark").alias("marks"))
+    again = each.groupBy("mark").agg((F.min(place) < F.max(place)).alias("again"), F.count("*").alias("n")).where("again")
+    again = saved(again.select("mark", F.ceil(F.col("n") / places).cast("int").alias("parts")))
+    own = each.select("id", "mark").join(small(again), "mark").groupBy("id").agg(F.collect_set(F.struct("mark", "parts")).alias("own"))
     gone = later.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
-    known = saved(own.join(gone, "id", "left").select("id", "marks", F.col("gone.start").alias("from"), F.col("gone.end").alias("to")))
-    sample = texts.join(known, "id").select("id", "text", "marks", "from", "to")
-    place = ["id", "stretch", "at", "starts", "around"]
-    rows = saved(sample.mapInArrow(_sample, "id long, stretch int, at int, starts int, around long, k1 long, k2 long, k3 long"))
-    # Positions of a residue follow each other in steps of 3 bytes.
-    w = Window.partitionBy("id", "stretch", F.col("at") % 3).orderBy("at")
-    rows = _named(rows, place)
-    rows = rows.select(*place, F.col("name").alias("k1"), F.lead("name", 6).over(w).alias("k2"), F.lead("name", 12).over(w).alias("k3")).where("k3 is not null")
-    rows = _named(saved(rows), place)
-    rows = rows.select(*place, F.col("name").alias("n54"), F.lead("name", 14).over(w).alias("n42on"), F.lead("name", 15).over(w).alias("n45on"))
-
-    def byte(i: int) -> Column:
-        return F.shiftrightunsigned("around", 8 * (4 - i)).bitwiseAND(255)
-
-    def kind(shift: int, second: str, *bytes_: int) -> Column:
-        code = F.lit(shift).cast("long")
-        for i in bytes_:
-            code = code * 256 + byte(i)
-        return F.struct((F.col("at") - shift).alias("i"), code.alias("code"), F.col("n54").alias("a"), F.col(second).alias("b"))
-
-    kinds = F.explode(F.array(kind(0, "n45on", 4), kind(1, "n45on", 1), kind(2, "n42on", 0, 1, 2, 3)))
-    prefixes = rows.select("id", "stretch", "starts", kinds.alias("p")).where("p.i >= 0 and p.i < starts and p.b is not null")
-    prefixes = saved(prefixes.select("id", (F.col("stretch") + F.col("p.i")).alias("start"), "p.code", "p.a", "p.b"))
-    firsts = saved(prefixes.groupBy("code", "a", "b").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    found = prefixes.join(firsts, ["code", "a", "b"]).where(F.struct("id", "start") > F.col("first"))
-    return later.union(found.select("id", "start", (F.col("start") + 1).alias("end")).distinct())
+    known = own.join(gone, "id", "left").select("id", "own.mark", "own.parts", F.col("gone.start").alias("from"), F.col("gone.end").alias("to"))
+    records = texts.join(known, "id").select("id", "text", "mark", "parts", "from", "to").mapInArrow(_records, "mark long, part int, parts int, id long, start int, n int, bytes binary")
+    dealt = records.repartition("mark", "part").sortWithinPartitions("mark", "part").select("mark", "part", "parts", "id", "start", "n", "bytes")
+    told = saved(dealt.mapInArrow(_slices, "id long, start int, end int, digest binary"))
+    firsts = told.where("digest is not null").select("id", "start", "digest")
+    least = saved(firsts.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"))
+    least = small(least, 2 * least.count())
+    across = firsts.join(least, "digest").where(F.struct("id", "start") > F.col("first")).select("id", "start", (F.col("start") + 1).alias("end"))
+    return later.union(told.where("digest is null").select("id", "start", "end")).union(across)
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,11 +307,17 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     """
     rows = in_small_batches(docs).select(F.col(f"`{id}`").cast("long").alias("id"), F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8").alias("text"))
     long = rows.where((F.length("text") >= LENGTH) & F.col("id").isNotNull())
-    keyed = saved(long.select("id", F.unhex(F.sha2("text", 256)).alias("key")).distinct())
-    first = saved(keyed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k"), "first"))
-    copies = saved(keyed.join(first, F.col("key") == F.col("k")).where("id <> first").select("id", "key"))
     digest = F.unhex(F.sha2("text", 256))
-    single = long.withColumn("key", digest).join(copies, ["id", "key"], "left_anti").dropDuplicates(["id", "key"]).select("id", "text")
+    keyed = saved(long.select("id", digest.alias("key")).groupBy("id", "key").agg(F.count("*").alias("times")))
+    first = keyed.groupBy(F.col("key").alias("k")).agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("k", "first")
+    copies = saved(keyed.join(first, F.col("key") == F.col("k")).where("id <> first").select("id", "key"))
+    copies = small(copies, 3 * copies.count())  # 40 bytes a row
+    twice = saved(keyed.where("times > 1").select("id", "key").join(copies, ["id", "key"], "left_anti"))
+    twice = small(twice, 3 * twice.count())
+    # Only rows that are there more than once are shuffled to keep one of each.
+    long = long.withColumn("key", digest).join(copies, ["id", "key"], "left_anti")
+    once = long.join(twice, ["id", "key"], "left_anti").select("id", "text")
+    single = once.union(long.join(twice, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "text"))
     starts = saved(repeated_starts(single).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found")))
     copied = copies.select("id", "key", F.lit(True).alias("copy"))
     joined = rows.withColumn("key", digest).join(copied, ["id", "key"], "left").join(starts, "id", "left")

@@ -142,6 +142,36 @@ def test_suffix_brute_force(spark, db):
     assert got == removed(texts)
 
 
+def test_suffix_order():
+    draw = np.random.default_rng(1)
+    texts = [draw.integers(1, int(k) + 1, int(n)) for n, k in zip(draw.integers(0, 60, 400), draw.integers(1, 5, 400))]
+    half = draw.integers(1, 2**30, 500)
+    for x in [*texts, np.ones(300, np.int64), np.concatenate([half, half])]:
+        assert suffix.suffix_order(x).tolist() == sorted(range(len(x)), key=lambda i: x[i:].tolist())
+
+
+def test_suffix_parts_of_a_mark(spark):
+    """A passage in many texts that differ around it, and a periodic text: their marks are dealt over many parts."""
+    draw = np.random.default_rng(2)
+
+    def noise(n: int) -> bytes:
+        return bytes(draw.integers(97, 123, n, dtype=np.uint8))
+
+    passage = noise(170)
+    texts = {i: noise(40 + i % 7) + passage[i % 3 :] + noise(60) for i in range(200)} | {500: b"abc" * 400, 501: b"bca" * 300 + passage, 502: passage[:99]}
+    df = spark.createDataFrame([(i, bytearray(t)) for i, t in texts.items()], "id long, text binary")
+    ranges = {}
+    for i, start, end in suffix.repeated_starts(df.where("length(text) >= 100"), places=4).collect():
+        ranges.setdefault(i, set()).update(range(start, end))
+    seen, expected = set(), {}
+    for i in sorted(texts):
+        for s in range(len(texts[i]) - 99):
+            if (x := texts[i][s : s + 100]) in seen:
+                expected.setdefault(i, set()).add(s)
+            seen.add(x)
+    assert ranges == expected
+
+
 def test_suffix_edges(spark, edge):
     got = suffix.deduplicated(edge).collect()
     assert len(got) == len(EDGE) and sum(r["n_bytes"] for r in got) == sum(len((r[1] or "").encode()) for r in EDGE)
