@@ -279,8 +279,7 @@ def repeated_starts(texts: DataFrame, places: int = PLACES) -> DataFrame:
     placed = blocks.join(first, "digest", "left").withColumn("later", F.coalesce(F.struct("id", "start") > F.col("first"), F.lit(False)))
     later = saved(placed.where("later").select("id", "start", "end"))
     each = placed.where("not later").select("id", F.explode(F.arrays_zip("marks", "places")).alias("m")).select("id", F.col("m.marks").alias("mark"), F.col("m.places").alias("place"))
-    place = F.struct("id", "place")
-    again = each.groupBy("mark").agg((F.min(place) < F.max(place)).alias("again"), F.count("*").alias("n")).where("again")
+    again = each.groupBy("mark").agg((F.min("id") < F.max("id")).alias("ids"), (F.min("place") < F.max("place")).alias("places"), F.count("*").alias("n")).where("ids or places")
     again = saved(again.select("mark", F.ceil(F.col("n") / places).cast("int").alias("parts")))
     own = each.select("id", "mark").join(small(again), "mark").groupBy("id").agg(F.collect_set(F.struct("mark", "parts")).alias("own"))
     gone = later.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
