@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableprofile.llm import chat, exact, html, langid, mixing, pieces, quality, suffix, superminhash, textbytes, topk
-from tableprofile.llm.common import components
+from tableprofile.llm.common import components, shared_folder
 from tableprofile.llm.queries import MODEL_FILE, QUERIES
 from tableprofile.llm.sql import ORACLES
 from tools.compare import TABLES, canonical
@@ -60,6 +60,16 @@ def test_exact_edges(spark, edge):
     assert exact.exact_groups(edge.limit(0)).collect() == []
 
 
+def shared_files(spark) -> set[str]:
+    """Part files in the shared folder; Hadoop starts a process for every file that an executor writes there."""
+    return {f"{d}/{x}" for d, _, names in os.walk(shared_folder(spark).removeprefix("file://")) for x in names if x.startswith("part-")}
+
+
+def test_exact_writes_no_files(spark, edge):
+    before = shared_files(spark)
+    assert len(exact.exact_groups(edge).collect()) == len(EDGE) and shared_files(spark) == before
+
+
 def test_trie_emptied_when_full(spark):
     texts = [f"{'x' * (i % 50)}{i % 300}".encode() for i in range(3000)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text binary")
