@@ -31,8 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """The rows of df, written once to the shared folder: lineage ends here and every later use reads the same rows."""
+#: Rows of a few longs in a file of a saved table whose count is known.
+FILE_ROWS = 50_000
+
+
+def saved(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows of df, written once to the shared folder: lineage ends here and every later use reads the same rows.
+
+    rows: their number, if it is known and a row is a few longs. The files are then as many as the
+    rows need; without it, as many as df has partitions.
+    """
+    if rows is not None:
+        df = df.coalesce(1 + rows // FILE_ROWS)
     path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -77,12 +87,14 @@ def components(edges: DataFrame) -> DataFrame:
     labels = saved(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")))
     rows = labels.count()
     while True:
-        near = saved(both.join(small(labels, rows), F.col("b") == F.col("id")).groupBy(F.col("a").alias("to")).agg(F.min("component").alias("least")))
-        met = saved(labels.join(small(near, rows), F.col("id") == F.col("to"), "left").select("id", "component", F.least("component", "least").alias("new")))
+        near = both.join(small(labels, rows), F.col("b") == F.col("id")).groupBy(F.col("a").alias("to")).agg(F.min("component").alias("least"))
+        met = labels.join(small(near, rows), F.col("id") == F.col("to"), "left").select("id", "component", F.least("component", "least").alias("new"))
+        met = saved(met, rows)
         jump = met.select(F.col("id").alias("of"), F.col("new").alias("newer"))
         new = saved(
             met.join(small(jump, rows), F.col("new") == F.col("of"), "left")
-            .select("id", F.least("new", "newer").alias("component"), (F.least("new", "newer") != F.col("component")).alias("moved"))
+            .select("id", F.least("new", "newer").alias("component"), (F.least("new", "newer") != F.col("component")).alias("moved")),
+            rows,
         )
         labels = new.select("id", "component")
         if new.where("moved").isEmpty():

@@ -5,6 +5,7 @@ import itertools
 import os
 import re
 import time
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableprofile.llm import chat, exact, html, langid, mixing, pieces, quality, suffix, superminhash, textbytes, topk
-from tableprofile.llm.common import components, shared_folder
+from tableprofile.llm.common import FILE_ROWS, components, saved, shared_folder
 from tableprofile.llm.queries import MODEL_FILE, QUERIES
 from tableprofile.llm.sql import ORACLES
 from tools.compare import TABLES, canonical
@@ -130,6 +131,23 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, 50: 50, 70: 50, 100: 50}
 
 
+def test_components_write_few_files(spark):
+    """Tables of known size are in files of many rows, whatever the number of partitions."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200)], "a long, b long").repartition(4)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        before = shared_files(spark)
+        assert {r["component"] for r in components(edges).collect()} == {1}
+        folders = Counter(os.path.dirname(x) for x in shared_files(spark) - before)
+    finally:
+        spark.conf.unset(coalesce)
+    assert sorted(folders.values())[:-2] == [1] * (len(folders) - 2) and len(folders) > 4  # edges and first labels come first
+    df = spark.range(0, FILE_ROWS + 1, 1, 4).select(F.col("id").alias("a"))
+    before = shared_files(spark)
+    assert saved(df, FILE_ROWS + 1).agg(F.sum("a")).first()[0] == FILE_ROWS * (FILE_ROWS + 1) // 2 and len(shared_files(spark) - before) == 2
+
+
 def removed(texts: dict) -> dict:
     seen, out = set(), {}
     for i in sorted(texts):
