@@ -263,6 +263,13 @@ def test_language_ties_and_parts(spark, edge):
         assert abs(r["language"]["score"] - whole[r["doc_id"]]["score"]) < 0.02
 
 
+def test_language_writes_no_files(spark, edge):
+    before = shared_files(spark)
+    held = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    assert len(langid.predicted(edge, F.lit(True)).collect()) == len(EDGE)
+    assert shared_files(spark) == before and set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) == held
+
+
 def test_language_edges(spark, edge):
     got = {r["doc_id"]: r["language"] for r in langid.predicted(edge, F.lit(True)).collect()}
     assert got[2]["lang_pred"] == got[3]["lang_pred"] == got[7]["lang_pred"] == "und" and got[1]["lang_pred"] == "en"
